@@ -1,0 +1 @@
+"""operators of the change-data-capture engine."""

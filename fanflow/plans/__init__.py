@@ -1,0 +1 @@
+"""plans of the change-data-capture engine."""

@@ -1,0 +1 @@
+"""sources of the change-data-capture engine."""

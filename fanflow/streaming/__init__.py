@@ -1,0 +1 @@
+"""streaming of the change-data-capture engine."""
