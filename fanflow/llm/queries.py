@@ -5,12 +5,14 @@ from fanflow.llm.language import op7_language_id
 from fanflow.llm.mixing import op3_mixing
 from fanflow.llm.quality import op2_quality
 from fanflow.llm.simhash import op10_simhash
+from fanflow.llm.spotsigs import OP4_SQL, op4_spotsigs
 
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
+    "op4_spotsigs": op4_spotsigs,
     "op5_decontaminate": op5_decontaminate,
     "op7_language_id": op7_language_id,
     "op10_simhash": op10_simhash,
 }
-ORACLES = {"op5_decontaminate": OP5_SQL}
+ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL}
