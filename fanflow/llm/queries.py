@@ -1,6 +1,7 @@
 """Queries of the operators and the SQL that gives the same rows, where SQL can."""
 
 from fanflow.llm.decontaminate import OP5_SQL, op5_decontaminate
+from fanflow.llm.hmm import op9_hmm
 from fanflow.llm.language import op7_language_id
 from fanflow.llm.mixing import op3_mixing
 from fanflow.llm.quality import op2_quality
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_spotsigs": op4_spotsigs,
     "op5_decontaminate": op5_decontaminate,
     "op7_language_id": op7_language_id,
+    "op9_hmm": op9_hmm,
     "op10_simhash": op10_simhash,
 }
 ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL}
