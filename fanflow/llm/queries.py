@@ -5,17 +5,21 @@ from fanflow.llm.hmm import op9_hmm
 from fanflow.llm.language import op7_language_id
 from fanflow.llm.mixing import op3_mixing
 from fanflow.llm.quality import op2_quality
+from fanflow.llm.quotes import op8_quotes
 from fanflow.llm.simhash import op10_simhash
 from fanflow.llm.spotsigs import OP4_SQL, op4_spotsigs
 from fanflow.llm.suffixes import op6_suffix_dedup
+from fanflow.llm.urls import op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_spotsigs": op4_spotsigs,
     "op5_decontaminate": op5_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language_id": op7_language_id,
+    "op8_quotes": op8_quotes,
     "op9_hmm": op9_hmm,
     "op10_simhash": op10_simhash,
 }
