@@ -227,22 +227,25 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     return alike.unionByName(mixed).groupBy(*_KEY).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, carried: tuple[str, ...] = ()) -> DataFrame:
     mark = F.xxhash64(text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    return docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rest = [F.struct(*carried).alias("rest")] if carried else []
+    return docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), *rest)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(id_col, mark, n_bytes, n_removed, n_spans, kept: binary) for each row of docs: its text without the bytes of repeated strings.
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, carried: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
+    """(id_col, mark, n_bytes, n_removed, n_spans, kept: binary, and rest: a struct of the carried columns) for each row of docs: its text without the bytes of repeated strings.
 
     A string of length bytes is repeated if it starts at another place of any text, the same one included; all its
     places lose it, and whole runs of covered bytes count as spans. Null, empty and short texts lose nothing unless
-    another row repeats them whole; repeated rows are repeats of each other. kept may cut a character in two.
+    another row repeats them whole; repeated rows are repeats of each other. kept may cut a character in two; with
+    whole_characters what is left of one goes too, without being counted.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     spans = repeated(docs, id_col, text_col, length).select(F.col("id").alias("i"), F.col("mark").alias("m"), "spans")
-    rows = _rows(docs, id_col, text_col)
-    both = rows.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left").select("id", "mark", "text", "spans")
+    rows = _rows(docs, id_col, text_col, carried)
+    rest = ["rest"] if carried else []
+    both = rows.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")), "left").select("id", "mark", "text", "spans", *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -263,9 +266,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     removed.append(0)
                 kept.append(raw)
             size = [len(k) + r for k, r in zip(kept, removed, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mark"), *(pa.array(x, pa.int64()) for x in (size, removed, count)), pa.array(kept, pa.binary())], ["id", "mark", "n_bytes", "n_removed", "n_spans", "kept"])
+            if whole_characters:
+                kept = [k.decode("utf-8", "ignore").encode() for k in kept]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mark"), *(pa.array(x, pa.int64()) for x in (size, removed, count)), pa.array(kept, pa.binary()), *(b.column(c) for c in rest)], ["id", "mark", "n_bytes", "n_removed", "n_spans", "kept", *rest])
 
-    found = both.mapInArrow(run, f"id {kind}, mark int, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    found = both.mapInArrow(run, f"id {kind}, mark int, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary" + "".join(f", rest {rows.schema[c].dataType.simpleString()}" for c in rest))
     return found.withColumnRenamed("id", id_col)
 
 
