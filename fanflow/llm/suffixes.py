@@ -214,7 +214,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     rows = _rows(docs, id_col, text_col)
     samples = written(_samples(rows, kind, length, gram), "suffix-samples")
     several = samples.groupBy("h").agg(F.count(F.lit(1)).alias("all"), (F.min("f") != F.max("f")).alias("mixed")).filter("all > 1").select("h", "mixed")
-    met = written(samples.join(several, "h"), "suffix-met")
+    met = written(samples.join(written(several, "suffix-several"), "h"), "suffix-met")  # written, so that a hot h is split in the join
     alike = met.filter("not mixed").select(*_KEY, (F.col("place") - F.col("most")).alias("s"), (F.col("place") - F.col("least") + length).alias("e"))
     one = F.min(F.struct(*_KEY, "place", "least", "most")).alias("one")
     kinds = met.filter("mixed").groupBy("h", "f").agg(F.count(F.lit(1)).alias("n"), one).select("h", "f", "n", "one.*")
