@@ -174,7 +174,7 @@ def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _hadamard(n: int) -> np.ndarray:
     both = np.arange(n)[:, None] & np.arange(n)[None, :]
-    return (1 - 2 * (np.bitwise_count(both) & 1)).astype(np.float32)
+    return np.where(np.bitwise_count(both) & 1, -1, 1).astype(np.float32)
 
 
 def _likeness(differ, n: int | object, m: int | object, cos, sqrt):
