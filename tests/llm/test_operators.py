@@ -92,6 +92,35 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(none(spark)).count() == 0
 
 
+@pytest.mark.parametrize(("few", "part_rows"), [(32, 1024), (2, 4)])
+def test_similar_documents_match_brute_force(spark, monkeypatch, few, part_rows):
+    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(simhash, "PART_ROWS", part_rows)
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    docs = []
+    for _ in range(8):
+        base = [word() for _ in range(300)]
+        docs += [" ".join(word() if at in edits else w for at, w in enumerate(base)) for edits in (set(r.sample(range(300), k)) for k in (0, 0, 1, 2, 3, 60, 90))]
+    docs += ["a b", "A  b", "a c", "", None, " "]
+    shingle = lambda t: {tuple(w[i : i + min(5, len(w))]) for w in [words(t)] for i in range(max(1, len(w) - 4)) if w}
+    sets = [shingle(t) for t in docs]
+    root = list(range(len(docs)))
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            x, y = root[a], root[b]
+            root = [min(x, y) if v in (x, y) else v for v in root]
+    found = simhash.similar_documents(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    assert {x.doc_id: x.component for x in found.collect()} == dict(enumerate(root))
+
+
+def test_similar_documents_odd_rows(spark):
+    found = sorted(((r.doc_id, r.component) for r in simhash.similar_documents(odd(spark)).collect()), key=str)
+    assert len(found) == len(ODD) and {c for i, c in found if i in (1, 2, 3)} == {1}
+    assert [c for i, c in found if i == 4] == [4, 4] and [c for i, c in found if i is None] == [None]
+    assert simhash.similar_documents(none(spark)).count() == 0
+
+
 def brute_repeats(docs, length):
     seen = Counter(t[i : i + length] for t in docs for i in range(len(t) - length + 1))
     out = []
