@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fanflow.llm.common import mix64, pieces, written
@@ -233,17 +233,19 @@ def wide_links(wides: DataFrame, likeness: float = 0.8) -> DataFrame:
     The fingerprint is cut into WIDE / BLOCK blocks; near pairs agree on some block and are verified by Hamming distance.
     Of all pairs that share a block, exactly the chains of near ones are connected: block groups up to FEW give their
     pairs, larger ones a star to their least member, and after that only members of components that are still apart are
-    compared, in pairs of parts of PART_ROWS rows, so that no task holds a whole group.
+    compared, in pairs of parts of PART_ROWS rows, so that no task compares a whole group. Blocks are shuffled once: a
+    window tells the size and the least member of each group, and its rows of one group may spill. With groups over FEW
+    the edges are those to the components' roots and the links between components.
     """
     words = wides.select("fp", F.posexplode("wide").alias("p", "w"))
     low, high = F.col("w").bitwiseAND(F.lit(2**BLOCK - 1)), F.shiftrightunsigned("w", BLOCK)
     keys = F.array(*(F.shiftleft((F.col("p") * 2 + k).cast("long"), BLOCK) + v for k, v in enumerate((low, high))))
     blocks = words.select("fp", F.explode(keys).alias("k"))
-    groups = blocks.repartition("k").groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
-    groups = written(groups.filter("size > 1"), "simhash-groups")
-    two = groups.filter("size = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    members = written(blocks.join(groups.filter("size > 2"), "k").select("k", "fp", "lo", "size"), "simhash-members")
-    listed = members.filter(F.col("size") <= FEW).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids"))
+    alike = Window.partitionBy("k")
+    sized = blocks.select("k", "fp", F.min("fp").over(alike).alias("lo"), F.count(F.lit(1)).over(alike).alias("size"))
+    members = written(sized.filter("size > 1"), "simhash-members")
+    two = members.filter((F.col("size") == 2) & (F.col("fp") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("fp").alias("b"))
+    listed = members.filter((F.col("size") > 2) & (F.col("size") <= FEW)).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids"))
     each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")
     some = listed.select(F.explode(each).alias("e")).select("e.a", "e.b")
     star = members.filter((F.col("size") > FEW) & (F.col("fp") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("fp").alias("b"))
@@ -259,7 +261,8 @@ def wide_links(wides: DataFrame, likeness: float = 0.8) -> DataFrame:
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
     dealt = rest.withColumn("part", part).select("k", "fp", "root", F.explode(pairs).alias("ij")).join(wides, "fp")
     dealt = dealt.select("k", "ij.i", "ij.j", "fp", "root", "n", "wide").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-    return near.unionByName(written(dealt.mapInArrow(_across(likeness), "a long, b long"), "simhash-across"))
+    across = written(dealt.mapInArrow(_across(likeness), "a long, b long"), "simhash-across")
+    return roots.select(F.col("fp").alias("a"), F.col("root").alias("b")).unionByName(across)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, likeness: float = 0.8) -> DataFrame:

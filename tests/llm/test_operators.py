@@ -121,6 +121,20 @@ def test_similar_documents_odd_rows(spark):
     assert simhash.similar_documents(none(spark)).count() == 0
 
 
+@pytest.mark.parametrize("sent", [1_500_000, 0])
+def test_near_duplicate_stage_odd_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(corpus_pipeline, "SENT_ROWS", sent)
+    long = [f"w{k}" for k in range(200)]
+    more = [(4, " ".join(long), "en", "s"), (9, " ".join([*long[:-1], "other"]), "en", "s"), (None, " ".join([*long, "more"]), "en", "s"), (9, "another text", "en", "s")]
+    docs = odd(spark).select("doc_id", "text", "lang", "source", "id", "key", "size")
+    added = spark.createDataFrame(more, SCHEMA).withColumns({c: F.lit("x") for c in ("id", "key", "size")})
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs.unionByName(added), SF)
+    assert kept.columns == docs.columns
+    texts = {(i, t) for i, t, *_ in [*ODD, more[0], more[3]] if i not in (2, 3)}
+    assert sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted(texts, key=str)
+    assert corpus_pipeline.keep_one_of_near_duplicates(spark, none(spark), SF).count() == 0
+
+
 def brute_repeats(docs, length):
     seen = Counter(t[i : i + length] for t in docs for i in range(len(t) - length + 1))
     out = []
