@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of numpy work takes at once (a longer text is taken alone).
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _own_dir: list[str] = []
 
@@ -57,14 +57,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with about limit bytes of text at most: (slice, bytes, offsets)."""
+def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with about limit bytes of text, and so many rows, at most: (slice, bytes, offsets)."""
     for batch in batches:
         data, offsets = buffers(batch.column(text))
         at = 0
         while at < batch.num_rows:
             to = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-            to = min(max(to, at + 1), batch.num_rows)
+            to = min(max(to, at + 1), at + (rows or batch.num_rows), batch.num_rows)
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
 

@@ -150,7 +150,7 @@ def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         fixed = np.random.default_rng(7)
         ties, shuffled = fixed.choice([-0.5, 0.5], WIDE).astype(np.float32), fixed.permutation(WIDE)
         for batch in batches:
-            for b, data, offsets in pieces(iter([batch]), "text", 400_000):
+            for b, data, offsets in pieces(iter([batch]), "text", 400_000, 256):
                 h, runs = shingles(data, offsets, words, False)
                 text = np.repeat(np.arange(b.num_rows), runs)
                 for t in np.flatnonzero(runs == 0):
