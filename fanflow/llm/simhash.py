@@ -1,17 +1,17 @@
-"""SimHash near-duplicates: fingerprints of word shingles, linked through pigeonhole blocks and verified by Hamming distance."""
+"""SimHash near-duplicates: fingerprints of word shingles, linked through pigeonhole blocks and verified by Hamming distance, and exact links of shingle sets."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fanflow.llm.common import mix64, pieces, written
+from fanflow.llm.common import mix64, pieces, ragged, signed, written
 from fanflow.llm.components import components
 from fanflow.llm.decontaminate import shingles
 
@@ -19,13 +19,15 @@ from fanflow.llm.decontaminate import shingles
 BITS, PARTS = 64, 4
 #: Block groups up to this size are compared pair by pair; larger ones take the path by one-bit neighbours.
 PAIRWISE = 1500
-#: Bits of a wide fingerprint, and of a block of it. A pair at likeness 0.8 has 15 % of its bits different, at 0.9 10 %.
-WIDE, BLOCK = 8192, 32
-#: Matrix rows that a shingle votes with: 8192 rows alone would not tell very short texts apart.
-ROWS = 3
-#: Block groups of wide fingerprints up to this size give their pairs; larger ones a star first, then only what it left apart.
+#: Groups of one shingle up to this size give their pairs; larger ones a star first, then only what it left apart.
 FEW = 32
-#: Fingerprints of a part of a large block group.
+#: Every so many-th text is searched for common shingles, those of SEEN texts at least, and COMMON of them at most.
+SAMPLED, SEEN, COMMON = 32, 3, 500_000
+#: Buckets in which the shingles of a set are counted, for sets of up to COUNTED.
+BUCKETS, COUNTED = 256, 1_000_000
+#: Keys of sets that one broadcast may hold (about 100 MB).
+SENT = 1_500_000
+#: Shingle sets of a part of a large group.
 PART_ROWS = 1024
 
 
@@ -135,147 +137,184 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _named(fps, distinct, components(links(distinct, distance))).withColumnRenamed("id", id_col)
 
 
-def wide_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """One row (id, n, wide: array of WIDE / 64 longs) for each row of docs: n distinct word shingles and their wide SimHash.
+def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
+    """Of batches with a text: (slice, shingle hashes by text in ascending order without repeats, offsets, key of each set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for b, data, offsets in pieces(batches, "text"):
+            h, runs = shingles(data, offsets, words, False)
+            text = np.repeat(np.arange(b.num_rows), runs)
+            for t in np.flatnonzero(runs == 0):
+                short, _ = shingles(data[offsets[t] : offsets[t + 1]], np.array([0, offsets[t + 1] - offsets[t]]), words, True)
+                h, text = np.append(h, short), np.append(text, np.full(len(short), t))
+            order = np.lexsort((h, text))
+            h, text = h[order], text[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+            h, text = h[new], text[new]
+            n = np.bincount(text, minlength=b.num_rows)
+            ends = np.cumsum(n)
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h + np.uint64(1)), dtype=np.uint64)])
+            yield b, h, np.concatenate([[0], ends]), mix64(total[ends] - total[ends - n] + n.astype(np.uint64))
 
-    A shingle's hashes pick ROWS signed rows of the WIDE x WIDE Hadamard matrix, whose sum has its votes; a bit is set if
-    the votes' sum is positive. The sums are one product of the signed counts by row with the matrix, taken as that of its
-    two Kronecker factors, and shuffled, since neighbouring columns are alike. Texts of fewer words are one shingle; texts
-    without words have none, and all of them one fingerprint.
+    return run
+
+
+def _common(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
+    """Shingles of many documents, ascending: those of SEEN or more of every SAMPLED-th text. They only order the shingles, so none need be found."""
+    sets = _sets(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, h, _, _ in sets(batches):
+            yield pa.RecordBatch.from_arrays([signed(h)], ["h"])
+
+    some = docs.select(F.col(text_col).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    often = some.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= SEEN)
+    return np.sort(often.orderBy(F.desc("c"), "h").limit(COMMON).toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness: float) -> DataFrame:
+    """One row (id, fp: long key of the shingle set, n, keys, counts) for each row of docs: keys are the first shingles of the set.
+
+    In any one order of all shingles, two sets of likeness 0.8 have one of their first n - ceil(0.8 n) + 1 in common;
+    here common shingles come last. counts has the shingles by bucket of their hash. Texts of fewer words are one shingle; texts without words have none, and one fp.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    sets, common = _sets(words), _common(docs, text_col, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, h, cut, fp in sets(batches):
+            n = np.diff(cut)
+            text, place = ragged(n)
+            late = np.zeros(len(h), bool)
+            if len(common) and len(h):
+                late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
+            ordered = h[np.lexsort((h, late, text))]
+            first = np.where(n > 0, n - np.ceil(likeness * n - 1e-9).astype(np.int64) + 1, 0)
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), signed(ordered[place < first[text]]))
+            spread = np.concatenate([np.bincount((h[s:e] % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS) for s, e in zip(cut[:-1], cut[1:], strict=True)])
+            counts = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BUCKETS), pa.array(np.minimum(spread, 32767).astype(np.int16)))
+            yield pa.RecordBatch.from_arrays([b.column("id"), signed(fp), pa.array(n), keys, counts], ["id", "fp", "n", "keys", "counts"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, n bigint, keys array<bigint>, counts array<smallint>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
+    """(fp, hashes: all shingles, ascending) of the sets with a key in wanted (fp, distinct)."""
+    sets = _sets(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        outer, inner = (_hadamard(k) for k in (128, WIDE // 128))
-        fixed = np.random.default_rng(7)
-        ties, shuffled = fixed.choice([-0.5, 0.5], WIDE).astype(np.float32), fixed.permutation(WIDE)
-        for batch in batches:
-            for b, data, offsets in pieces(iter([batch]), "text", 400_000, 256):
-                h, runs = shingles(data, offsets, words, False)
-                text = np.repeat(np.arange(b.num_rows), runs)
-                for t in np.flatnonzero(runs == 0):
-                    short, _ = shingles(data[offsets[t] : offsets[t + 1]], np.array([0, offsets[t + 1] - offsets[t]]), words, True)
-                    h, text = np.append(h, short), np.append(text, np.full(len(short), t))
-                order = np.lexsort((h, text))
-                h, text = h[order], text[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-                text = text[new]
-                vote = np.concatenate([mix64(h[new] + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) for k in range(1, ROWS + 1)])
-                place = np.tile(text * WIDE, ROWS) + (vote % np.uint64(WIDE)).astype(np.int64)
-                votes = np.bincount(place, 1.0 - 2.0 * (vote >> np.uint64(63)).astype(np.float64), b.num_rows * WIDE).astype(np.float32)
-                sums = (outer @ votes.reshape(-1, 128, WIDE // 128) @ inner).reshape(-1, WIDE) + ties
-                bits = np.packbits(np.take(sums > 0, shuffled, axis=1), axis=1, bitorder="little").view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (WIDE // 64)), pa.array(bits.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.bincount(text, minlength=b.num_rows)), lists], ["id", "n", "wide"])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n bigint, wide array<bigint>")
-
-
-def _hadamard(n: int) -> np.ndarray:
-    both = np.arange(n)[:, None] & np.arange(n)[None, :]
-    return np.where(np.bitwise_count(both) & 1, -1, 1).astype(np.float32)
-
-
-def _likeness(differ, n: int | object, m: int | object, cos, sqrt):
-    """Jaccard likeness of two sets of n and m shingles from the bits in which their wide fingerprints differ."""
-    shared = cos(differ * (np.pi / WIDE)) * sqrt(n * m)
-    return shared / (n + m - shared)
-
-
-def _verified(pairs: DataFrame, wides: DataFrame, likeness: float) -> DataFrame:
-    """Those pairs (a, b) whose wide fingerprints are as near as sets of this likeness make them."""
-    one, two = (wides.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}")) for c in "ab")
-    differ = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    both = pairs.join(one, "a").join(two, "b")
-    return both.filter(_likeness(differ, F.col("n_a").cast("double"), F.col("n_b").cast("double"), F.cos, F.sqrt) >= likeness).select("a", "b")
+        for _, h, cut, fp in sets(batches):
+            yield pa.RecordBatch.from_arrays([signed(fp), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), signed(h))], ["fp", "hashes"])
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "fp long, hashes array<bigint>")
+    return found.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "fp", "left_semi").dropDuplicates(["fp"])
+
+
+def _alike(shared, n, m, likeness: float):
+    """Whether sets of n and m shingles with so many in common have a Jaccard likeness this large."""
+    return shared >= likeness * (n + m - shared) - 1e-9
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
+    """Those pairs (a, b) whose shingle sets have this Jaccard likeness."""
+    one, two = (sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").filter(_alike(shared, F.size("set_a"), F.size("set_b"), likeness)).select("a", "b")
 
 
 def _across(likeness: float):
-    """Links between components in the parts of large block groups: rows sorted by group and pair of parts."""
+    """Links between components in the parts of large groups, by exact likeness: rows sorted by group and pair of parts."""
 
     def close(held: list[tuple]) -> pa.RecordBatch:
-        ids, roots, n, wide = (np.concatenate(x) for x in zip(*held, strict=True))
-        found, roots = [], roots.copy()
+        ids, roots = (np.array([x[k] for x in held]) for k in (0, 1))
+        sets, found = [x[2] for x in held], []
+        n = np.array([len(x) for x in sets])
         names, counts = np.unique(roots, return_counts=True)
         for name in names[np.argsort(counts, kind="stable")][:-1]:  # those of the commonest are met as the others'
             for at in np.flatnonzero(roots == name):
-                others = np.flatnonzero(roots != roots[at])
-                differ = np.bitwise_count(wide[others] ^ wide[at]).sum(1, dtype=np.int64)
-                for to in others[_likeness(differ, float(n[at]), n[others].astype(float), np.cos, np.sqrt) >= likeness]:
+                for to in np.flatnonzero((roots != roots[at]) & _alike(np.minimum(n, n[at]), n, n[at], likeness)):
                     if roots[to] != roots[at]:
-                        found.append((ids[at], ids[to]))
-                        roots[roots == roots[at]] = roots[to]
+                        x, y = sets[at], sets[to]
+                        if _alike(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()), len(x), len(y), likeness):
+                            found.append((ids[at], ids[to]))
+                            roots[roots == roots[at]] = roots[to]
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for b in batches:
-            k, i, j, *rest = (b.column(c).to_numpy() for c in ("k", "i", "j", "fp", "root", "n"))
-            rest.append(b.column("wide").flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1))
-            cuts = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            for s, e in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
-                if s < e and (k[s], i[s], j[s]) != key:
+            for k, i, j, fp, root, hashes in zip(*(b.column(c) for c in ("k", "i", "j", "fp", "root", "hashes")), strict=True):
+                here = (k.as_py(), i.as_py(), j.as_py())
+                if here != key:
                     if held:
                         yield close(held)
-                    key, held = (k[s], i[s], j[s]), []
-                if s < e:
-                    held.append(tuple(x[s:e] for x in rest))
+                    key, held = here, []
+                held.append((fp.as_py(), root.as_py(), hashes.values.to_numpy().view(np.uint64)))
         if held:
             yield close(held)
 
     return run
 
 
-def wide_links(wides: DataFrame, likeness: float = 0.8) -> DataFrame:
-    """Edges (a, b) between distinct wide fingerprints (fp: long key, n, wide) that are near enough and share a block.
+def set_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, likeness: float = 0.8) -> DataFrame:
+    """Edges (a, b) that connect exactly the shingle sets of distinct (fp, n, keys, counts) that chains of pairs of this likeness connect.
 
-    The fingerprint is cut into WIDE / BLOCK blocks; near pairs agree on some block and are verified by Hamming distance.
-    Of all pairs that share a block, exactly the chains of near ones are connected: block groups up to FEW give their
-    pairs, larger ones a star to their least member, and after that only members of components that are still apart are
-    compared, in pairs of parts of PART_ROWS rows, so that no task compares a whole group. Blocks are shuffled once: a
-    window tells the size and the least member of each group, and its rows of one group may spill. With groups over FEW
-    the edges are those to the components' roots and the links between components.
+    Near sets share one of their keys (see prefixes()), and all candidates are verified by their whole sets. Groups of a key
+    up to FEW give their pairs. A pair that shares c keys can have at most c + max(n - keys) shingles in common (keys of
+    larger groups count as shared), and in each bucket at most the lesser count: neither bound loses a near pair, and
+    they spare most others the check. Larger groups give a star to their least member,
+    and after that only members of components that are still apart are compared, in pairs of parts of PART_ROWS rows, so
+    that no task compares a whole group. Group sizes are combined before the shuffle.
     """
-    words = wides.select("fp", F.posexplode("wide").alias("p", "w"))
-    low, high = F.col("w").bitwiseAND(F.lit(2**BLOCK - 1)), F.shiftrightunsigned("w", BLOCK)
-    keys = F.array(*(F.shiftleft((F.col("p") * 2 + k).cast("long"), BLOCK) + v for k, v in enumerate((low, high))))
-    blocks = words.select("fp", F.explode(keys).alias("k"))
-    alike = Window.partitionBy("k")
-    sized = blocks.select("k", "fp", F.min("fp").over(alike).alias("lo"), F.count(F.lit(1)).over(alike).alias("size"))
-    members = written(sized.filter("size > 1"), "simhash-members")
-    two = members.filter((F.col("size") == 2) & (F.col("fp") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("fp").alias("b"))
-    listed = members.filter((F.col("size") > 2) & (F.col("size") <= FEW)).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids"))
+    keyed = distinct.select("fp", F.explode("keys").alias("k"))
+    groups = keyed.groupBy("k").agg(F.min("fp").alias("lo"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = written(keyed.join(groups, "k"), "simhash-members")
+    listed = members.filter(F.col("size") <= FEW).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids")).groupBy("ids").agg(F.count(F.lit(1)).alias("c"))
     each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")
-    some = listed.select(F.explode(each).alias("e")).select("e.a", "e.b")
-    star = members.filter((F.col("size") > FEW) & (F.col("fp") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("fp").alias("b"))
-    near = written(_verified(two.unionByName(some).unionByName(star).distinct(), wides, likeness), "simhash-near")
-    crowded = members.filter(F.col("size") > FEW).select("k", "fp", "size")
+    some = listed.select(F.explode(each).alias("e"), "c").groupBy("e.a", "e.b").agg(F.sum("c").alias("c"))
+    crowded = members.filter(F.col("size") > FEW)
+    hot = crowded.groupBy("fp").agg(F.count(F.lit(1)).alias("hot"))
+    facts = distinct.select("fp", "n", (F.col("n") - F.size("keys")).alias("rest")).join(hot, "fp", "left").na.fill(0, ["hot"])
+    one, two = (facts.select(F.col("fp").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "rest", "hot"))) for c in "ab")
+    most = F.least(F.col("c") + F.least("hot_a", "hot_b") + F.greatest("rest_a", "rest_b"), "n_a", "n_b")
+    star = crowded.filter(F.col("fp") != F.col("lo")).select(F.col("lo").alias("a"), F.col("fp").alias("b"), F.lit(0).cast("long").alias("c")).distinct()
+    likely = some.unionByName(star).groupBy("a", "b").agg(F.sum("c").alias("c"))
+    likely = written(likely.join(one, "a").join(two, "b").filter(_alike(most, F.col("n_a"), F.col("n_b"), likeness)).select("a", "b", "n_a", "n_b"), "simhash-likely")
+    one, two = (distinct.select(F.col("fp").alias(c), F.col("counts").alias(f"counts_{c}")) for c in "ab")
+    most = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
+    close = (F.greatest("n_a", "n_b") > COUNTED) | _alike(most, F.col("n_a"), F.col("n_b"), likeness)
+    pairs = written(likely.join(one, "a").join(two, "b").filter(close).select("a", "b"), "simhash-pairs")
+    wanted = written(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct(), "simhash-wanted")
+    sets = written(shingle_sets(docs, wanted, text_col, words), "simhash-sets")
+    near = written(_verified(pairs, sets, likeness), "simhash-near")
     if crowded.isEmpty():
         return near
     roots = written(components(near), "simhash-roots").withColumnRenamed("a", "fp")
-    rooted = written(crowded.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-crowded")
-    apart = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("k")
-    rest = rooted.join(apart, "k").withColumn("parts", F.ceil(F.col("size") / PART_ROWS))
+    rooted = written(crowded.select("k", "fp", "size").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-crowded")
+    apart = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("c"), F.bit_xor("fp").alias("x"), F.bit_xor(F.xxhash64("fp")).alias("y")).filter("least <> most")
+    apart = apart.groupBy("c", "x", "y").agg(F.min("k").alias("k")).select("k")  # one of the groups with the same members
+    rest = written(rooted.join(apart, "k"), "simhash-rest").withColumn("parts", F.ceil(F.col("size") / PART_ROWS))
+    members = written(rest.select("fp").distinct(), "simhash-wanted")
     part = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
-    dealt = rest.withColumn("part", part).select("k", "fp", "root", F.explode(pairs).alias("ij")).join(wides, "fp")
-    dealt = dealt.select("k", "ij.i", "ij.j", "fp", "root", "n", "wide").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
+    deal = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
+    dealt = rest.withColumn("part", part).select("k", "fp", "root", F.explode(deal).alias("ij")).join(shingle_sets(docs, members, text_col, words), "fp")
+    dealt = dealt.select("k", "ij.i", "ij.j", "fp", "root", "hashes").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
     across = written(dealt.mapInArrow(_across(likeness), "a long, b long"), "simhash-across")
     return roots.select(F.col("fp").alias("a"), F.col("root").alias("b")).unionByName(across)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, likeness: float = 0.8) -> DataFrame:
-    """One row for each row of docs: (id_col, fp: long key of the wide fingerprint, component: the smallest id that links reach).
+    """One row for each row of docs: (id_col, fp: long key of the shingle set, component: the smallest id that links reach).
 
-    Documents whose sets of five-word shingles have a Jaccard likeness of 0.8 or more link, as their wide fingerprints
-    tell it: the likeness that the Hamming distance gives is off by about 0.01. A pair at 0.8 shares a block three
-    times of four, one at 0.85 in 96 of 100, one at 0.9 practically always; groups are found by any of their pairs. Texts
-    without words link with each other only. Null ids, equal ids and other columns are as in near_duplicates().
+    Documents whose sets of five-word shingles have a Jaccard likeness of 0.8 or more link, all of them and no others:
+    candidates come from an exact prefix filter and are verified by their whole sets (shingles and sets are told apart by
+    64-bit hashes). Texts without words link with each other only. Null ids, equal ids and other columns are as in
+    near_duplicates(). docs is read up to four times.
     """
-    wides = written(wide_fingerprints(docs, id_col, text_col, words).withColumn("fp", F.xxhash64("wide", "n")), "simhash-wide")
-    distinct = written(wides.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("wide").alias("wide")), "simhash-distinct")
-    return _named(wides.select("id", "fp"), distinct, components(wide_links(distinct.select("fp", "n", "wide"), likeness))).withColumnRenamed("id", id_col)
+    rows = written(prefixes(docs, id_col, text_col, words, likeness), "simhash-prefixes")
+    distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts")), "simhash-distinct")
+    return _named(rows.select("id", "fp"), distinct.select("fp", "least"), components(set_links(distinct, docs, text_col, words, likeness))).withColumnRenamed("id", id_col)
 
 
 def _named(rows: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:

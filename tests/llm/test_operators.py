@@ -114,6 +114,17 @@ def test_similar_documents_match_brute_force(spark, monkeypatch, few, part_rows)
     assert {x.doc_id: x.component for x in found.collect()} == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("few", [32, 1])
+def test_similar_documents_at_just_the_likeness(spark, monkeypatch, few):
+    monkeypatch.setattr(simhash, "FEW", few)
+    docs = []
+    for k, n in itertools.product(range(40), (8, 24, 49)):  # 4, 20 and 45 shingles, and a quarter more or just over
+        base = [f"{n}x{k}y{w}" for w in range(n)]
+        docs += [" ".join(base), " ".join([*base, *(f"{n}z{k}z{w}" for w in range((n - 4) // 4))]), " ".join([*base, *(f"{n}v{k}v{w}" for w in range((n - 4) // 4 + 1))])]
+    found = {x.doc_id: x.component for x in simhash.similar_documents(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert found == {d: d - d % 3 if d % 3 < 2 else d for d in range(len(docs))}
+
+
 def test_similar_documents_odd_rows(spark):
     found = sorted(((r.doc_id, r.component) for r in simhash.similar_documents(odd(spark)).collect()), key=str)
     assert len(found) == len(ODD) and {c for i, c in found if i in (1, 2, 3)} == {1}
