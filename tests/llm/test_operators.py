@@ -205,6 +205,15 @@ def test_language(spark):
     assert language.fit(none(spark)) == {} and language.identify(odd(spark), {}).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_stage_keeps_short_texts(spark):
+    docs = documents(spark)
+    short = ["Avec.", "A.", "Ok.", "Re.", "For " * 200, "123", "".join(map(chr, range(0x4E00, 0x4F00))), None]
+    more = spark.createDataFrame([(-k, t, "en", "s") for k, t in enumerate(short, 1)], SCHEMA)
+    few = documents(spark).select("doc_id", "text", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("lang"), "source").unionByName(more.withColumn("lang", F.lit(None).cast("string")))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, few, SF).collect()}
+    assert {k for k in kept if k < 0} == {-1, -2, -3, -4, -5} and len(kept) > 0.98 * docs.count()
+
+
 def test_quality(spark):
     sf = "/root/testdata/sf0.01"
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
