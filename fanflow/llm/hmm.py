@@ -19,8 +19,8 @@ TOP, ENDINGS = 2000, 2048
 CLASSES = 1 + TOP + ENDINGS
 #: Most word counts that every task holds; the counts of all other words are joined.
 FREQUENT = 200_000
-#: Baum-Welch rounds over a hashed sample of about SAMPLE training documents, then over all.
-SAMPLE, SAMPLE_ROUNDS, ROUNDS = 4000, 10, 2
+#: Baum-Welch rounds, each over all training documents.
+ROUNDS = 12
 #: Words of a training window.
 WINDOW = 128
 #: The end of a text, as a word that no text has.
@@ -246,12 +246,10 @@ def _summed(rows: DataFrame, of: Callable[[Iterator[pa.RecordBatch]], Iterator[n
 
 
 def train(coded: DataFrame, v: Vocabulary) -> Model:
-    """Baum-Welch: each round one pass over the training rows, whose partitions give expected counts that are added up."""
-    rows = coded.filter("train").select("uid", "classes")
-    model, n = Model.first(v), rows.count()
-    sample = rows.filter(F.pmod(F.xxhash64("uid"), F.lit(10**6)) < int(1e6 * min(1.0, SAMPLE / max(1, n))))
-    rounds = [sample] * SAMPLE_ROUNDS + [rows] * ROUNDS if n > 2 * SAMPLE else [rows] * (SAMPLE_ROUNDS + ROUNDS)
-    for table in rounds:
+    """Baum-Welch: each round one pass over all training rows, whose partitions give expected counts that are added up."""
+    rows = coded.filter("train").select("classes")
+    model = Model.first(v)
+    for _ in range(ROUNDS):
 
         def counted(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[np.ndarray]:
             for b in batches:
@@ -265,7 +263,7 @@ def train(coded: DataFrame, v: Vocabulary) -> Model:
                 if held:
                     yield _expected(model, held)
 
-        model = model.better(_summed(table, counted), v)
+        model = model.better(_summed(rows, counted), v)
     return model
 
 

@@ -354,6 +354,14 @@ def test_hmm_edges(spark):
     assert hmm.score(none(spark).withColumn("learn", F.lit(True)), "learn").count() == 0
 
 
+def test_hmm_every_round_sees_all_rows(spark, monkeypatch):
+    seen, whole = [], hmm._summed
+    monkeypatch.setattr(hmm, "_summed", lambda rows, of: (seen.append(rows.count()), whole(rows, of))[1])
+    n = 9000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("word w"), F.col("id") % 7).alias("text"), F.lit(True).alias("learn"))
+    assert hmm.score(docs, "learn").count() == n and seen == [n] * hmm.ROUNDS
+
+
 def test_urls(spark):
     rows = [("HTTP://A.Example.COM/en/7x?q", "a.example.com", "/en/7x", "example.com/en/7"), ("http://b.com/en/1", "b.com", "/en/1", "com/en/"), ("x://net/de/", "net", "/de/", "net/de/"), ("http://example.net/de/8#f", "example.net", "/de/8", "example.net/de/8"), ("http://notnet/de/", "notnet", "/de/", None), ("nothing", "", "", None), (None, "", "", None), ("", "", "", None), ("http://q.org?x=/es/", "q.org", "", None), ("a://b://c/d", "b:", "//c/d", None), ("http://b.com/en/1", "b.com", "/en/1", "com/en/")]
     pages = spark.createDataFrame([(n, r[0], "<p>the cat</p>" if n % 2 else None, "x") for n, r in enumerate(rows)], "page_id int, url string, html string, host string")
