@@ -77,15 +77,19 @@ def link(parsed: DataFrame) -> DataFrame:
 
     The original is the first message of the same conversation, before the quoting one, that said the whole passage or
     else its longest paragraph or line that any did; failing that, the first of all other conversations. Originals are
-    reduced to the first of each hash before the join, so common passages make no pairs.
+    reduced to the first of each hash, and the first of another conversation than that, before the join, so common
+    passages make no pairs.
     """
     said = parsed.filter("conv is not null and turn is not null").select("conv", "turn", F.explode("said").alias("hash"))
     inside = said.groupBy("conv", "hash").agg(F.min("turn").alias("from_turn"))
     outside = inside.groupBy("hash").agg(F.min(F.struct("conv", "from_turn")).alias("first"))
+    others = inside.join(outside, "hash").filter(F.col("conv") != F.col("first.conv")).groupBy("hash").agg(F.min(F.struct("conv", "from_turn")).alias("second"))
+    outside = outside.join(others, "hash", "left")
     quotes = parsed.select("conv", "turn", F.posexplode("quotes").alias("quote", "q"))
     keys = quotes.select("conv", "turn", "quote", "q.level", F.posexplode("q.hashes").alias("rank", "hash"))
     here = keys.join(inside, ["conv", "hash"]).filter("from_turn < turn").select("conv", "turn", "quote", "level", F.struct(F.lit(0).alias("far"), "rank", F.col("conv").alias("from_conv"), "from_turn").alias("o"))
-    there = keys.join(outside, "hash").filter(F.col("conv").isNull() | (F.col("first.conv") != F.col("conv"))).select("conv", "turn", "quote", "level", F.struct(F.lit(1).alias("far"), "rank", F.col("first.conv").alias("from_conv"), F.col("first.from_turn").alias("from_turn")).alias("o"))
+    other = F.when(F.col("conv").isNull() | (F.col("first.conv") != F.col("conv")), F.col("first")).otherwise(F.col("second"))
+    there = keys.join(outside, "hash").withColumn("other", other).filter("other is not null").select("conv", "turn", "quote", "level", F.struct(F.lit(1).alias("far"), "rank", F.col("other.conv").alias("from_conv"), F.col("other.from_turn").alias("from_turn")).alias("o"))
     best = here.unionByName(there).groupBy("conv", "turn", "quote", "level").agg(F.min("o").alias("o"))
     return best.select("conv", "turn", "quote", "level", "o.from_conv", "o.from_turn")
 

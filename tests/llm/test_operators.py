@@ -414,6 +414,12 @@ def test_quotes(spark):
     assert len(rows) == spark.read.parquet(f"{SF}/conversations.parquet").count()
 
 
+def test_quotes_of_passages_that_the_least_conversation_says_itself(spark):
+    rows = [(1, 0, "user", "> Thanks.\nThanks."), (5, 3, "user", "Thanks."), (7, 2, "user", "Thanks."), (7, 4, "user", "> Thanks.\nNo."), (9, 0, "user", "> Thanks.\nYes."), (None, 1, "user", "> Thanks.")]
+    found = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.linked) for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+    assert found == {(1, 0): (5, 3, 1), (5, 3): (None, None, 0), (7, 2): (None, None, 0), (7, 4): (7, 2, 1), (9, 0): (1, 0, 1), (None, 1): (1, 0, 1)}
+
+
 def test_pipeline(spark):
     docs, sizes = documents(spark), []
     for _, stage in corpus_pipeline.STAGES[:-1]:
