@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +19,12 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of this process where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master only, a folder of this process."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith(("local[", "local*")) and spark.conf.get("spark.master", "local") != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return _own_dir[0]
@@ -106,8 +109,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Longest byte range that gets the multilinear hash, and the multiplier of each of its places.
+SHORT = 32
+_PLACES = mix64(np.arange(1, SHORT + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes by which byte ranges are told apart: multilinear up to SHORT bytes, XXH3 beyond.
+
+    Each place has a random 64-bit multiplier of its own, so two different short ranges have equal hashes for at most one
+    in 2^57 choices of the multipliers, however regular their bytes are.
+    """
+    lengths = ends - starts
+    short = np.flatnonzero(lengths <= SHORT)
+    n = lengths[short]
+    group, place = ragged(n)
+    sums = np.zeros(len(group) + 1, np.uint64)
+    np.cumsum((data[starts[short][group] + place].astype(np.uint64) + np.uint64(1)) * _PLACES[place], out=sums[1:])
+    to = np.cumsum(n)
+    out = np.zeros(len(starts), np.uint64)
+    out[short] = sums[to] - sums[to - n]
+    for k in np.flatnonzero(lengths > SHORT):
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return mix64(out)
+
+
 class RangeHash:
-    """64-bit hashes of any byte ranges of a buffer, each in constant time (prefix sums of a polynomial with odd base)."""
+    """64-bit hashes of any byte ranges of a buffer, each in constant time (prefix sums of a polynomial with odd base).
+
+    Regular ranges (Thue-Morse words of 1,024 bytes, say) may collide, so these hashes choose places and group strings,
+    but never decide that strings are equal.
+    """
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 

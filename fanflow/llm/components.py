@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 from fanflow.llm.common import written
 
 
-def _state(df: DataFrame) -> tuple[int, int]:
-    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % F.lit(2**31))).first()
-    return row[0], row[1] or 0
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every vertex is either the end of one edge to its root or a root itself."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    each = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b: long) to (a: long, root: long): each vertex of an edge with the smallest vertex that it reaches.
 
     Loops and repeated edges do no harm; an empty table gives an empty table. Every round is a minimum by vertex
-    (combined before the shuffle) joined back to the edges, so a hub's edges are never gathered in one task, and is
-    written to the shared folder. The number of rounds grows with the logarithm of the vertex count.
+    (combined before the shuffle) joined back to the edges of a written table, where Spark splits the edges of a hub among
+    tasks (AQE's skew join), and is written to the shared folder. The number of rounds grows with the logarithm of the
+    vertex count; they end when all that is left are stars.
     """
     cur = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    seen = _state(cur)
-    while seen[0]:
+    while not _are_stars(cur):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
@@ -30,8 +32,4 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         cur = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "cc")
-        now = _state(cur)
-        if now == seen:
-            break
-        seen = now
     return cur.groupBy("a").agg(F.min("b").alias("root")).unionByName(cur.select(F.col("b").alias("a"), F.col("b").alias("root")).distinct())

@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from fanflow.llm.common import RangeHash, lower_ascii, mix64, pieces, ragged, tokens
+from fanflow.llm.common import lower_ascii, mix64, pieces, ragged, range_hashes, tokens, written
 
 WORDS, LIKENESS, PERMUTATIONS = 5, 0.8, 32
 #: Characters of benchmark text that one pass over the documents looks for.
@@ -21,7 +23,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int, whole: bool) ->
     """Hash of each run of so many words, A-Z lower-cased, and the number of them in each text; whole: shorter texts are one run."""
     low = lower_ascii(data)
     starts, ends, first = tokens(low, offsets)
-    h = RangeHash(low)(starts, ends)
+    h = range_hashes(low, starts, ends)
     n = np.diff(first)
     if whole and len(n) == 1 and 0 < n[0] < words:
         words = int(n[0])
@@ -34,6 +36,13 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int, whole: bool) ->
     return mix64(out), runs
 
 
+def exact_shingles(text: str | None, words: int) -> set[bytes]:
+    """The distinct runs of so many words themselves, A-Z lower-cased; a text of fewer words has none."""
+    low = lower_ascii(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)).tobytes()
+    split = low.replace(b"\x0b", b" ").replace(b"\x0c", b" ").split()
+    return {b" ".join(split[k : k + words]) for k in range(len(split) - words + 1)}
+
+
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(5)
     return r.integers(0, 2**63, n, np.uint64), r.integers(0, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,7 +58,7 @@ class Index:
     """
 
     def __init__(self, items: list[tuple[object, str]], words: int = WORDS, permutations: int = PERMUTATIONS):
-        self.items: list[tuple[object, np.ndarray]] = []
+        self.items: list[tuple[object, np.ndarray, str]] = []
         groups: dict[int, dict[int, list[int]]] = {}
         for key, text in items:
             raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -58,7 +67,7 @@ class Index:
             if size:
                 h = np.unique(shingles(raw, np.array([0, len(raw)]), words, True)[0])
                 groups.setdefault(size, {}).setdefault(int(len(h)).bit_length() - 1, []).append(len(self.items))
-                self.items.append((key, h))
+                self.items.append((key, h, text))
         self.xor, self.odd = _seeds(permutations)
         self.groups = {size: dict(sorted(by.items())) for size, by in groups.items()}
         self.minima = {(size, c): [self._signatures(ids, k) for k in range(permutations)] for size, by in self.groups.items() for c, ids in by.items()}
@@ -101,45 +110,82 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
 
     shingles is the number of an item's distinct runs of five words (words: runs of bytes other than x20 and x09-x0D,
     A-Z lower-cased), shared how many of them the whole document has. An item of fewer words is one run of all its
-    words. Items and documents that are null, empty or blank match nothing; repeated rows match each on its own. The
-    documents are read once for each block of BLOCK_CHARS characters of items and are not shuffled or collected.
+    words. Items and documents that are null, empty or blank match nothing; repeated rows match each on its own; item ids
+    may have any type. The documents are read once for each block of BLOCK_CHARS characters of items, one block after
+    another, and are not shuffled or collected. Pairs found by hashes are verified by the shingles themselves.
     """
     kinds = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, {item_col} {items.schema[item_col].dataType.simpleString()}, shared bigint, shingles bigint, containment double"
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chars = items.agg(F.sum(F.char_length(item_text))).first()[0] or 0
-    passes = max(1, -(-chars // BLOCK_CHARS))
-    out = None
-    for n in range(passes):
-        block = items.filter(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(F.col(item_text)), F.lit(passes)) == n)).select(item_col, item_text)
-        index = Index(sorted(((r[0], r[1]) for r in block.collect()), key=lambda x: (str(x[0]), x[1])), words)
-        found = rows.mapInArrow(_search(index, likeness, [id_col, item_col], items.schema[item_col].dataType.simpleString()), kinds)
+    out, blocks = None, _blocks(items, item_col, item_text, words)
+    for passes, index in blocks:
+        found = rows.mapInArrow(_search(index, likeness, [id_col, item_col], items.schema[item_col].dataType), kinds)
+        found = written(found, "leaks") if passes > 1 else found
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _search(index: Index, likeness: float, names: list[str], item_kind: str):
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", words: int = WORDS, likeness: float = LIKENESS) -> DataFrame:
+    """The rows of docs, all columns, that hold no item in the sense of contained(); each row is judged by itself, not by its id.
+
+    Rows aren't shuffled or joined. Null and empty texts stay, and an empty table of items takes nothing.
+    """
+    for passes, index in _blocks(items.withColumn("_item", F.lit(0)), "_item", item_text, words):
+
+        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for b, data, offsets in pieces(batches, text_col):
+                clean = np.ones(b.num_rows, bool)
+                clean[[hit[0] for hit in _hits(index, likeness, b.column(text_col), data, offsets)]] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+        docs = written(docs, "leaks") if passes > 1 else docs
+    return docs
+
+
+def _blocks(items: DataFrame, item_col: str, item_text: str, words: int) -> Iterator[tuple[int, Index]]:
+    """The number of passes, and the index of each block of about BLOCK_CHARS characters of items: the driver holds one at a time."""
+    chars = items.agg(F.sum(F.char_length(item_text))).first()[0] or 0
+    passes = max(1, -(-chars // BLOCK_CHARS))
+    for n in range(passes):
+        block = items.filter(F.col(item_text).isNotNull() & (F.pmod(F.xxhash64(F.col(item_text)), F.lit(passes)) == n)).select(item_col, item_text)
+        yield passes, Index(sorted(((r[0], r[1]) for r in block.collect()), key=lambda x: (str(x[0]), x[1])), words)
+
+
+def _hits(index: Index, likeness: float, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(text, item, shared, shingles) of verified pairs: hashes first, and where they say yes the shingles themselves."""
+    hits = []
+    for size in index.groups:
+        h, runs = shingles(data, offsets, size, False)
+        if not len(h):
+            continue
+        to = np.cumsum(runs)
+        own: dict[int, tuple[np.ndarray, set[bytes]]] = {}
+        for text, item in sorted(index.candidates(size, h, runs)):
+            if text not in own:
+                own = {text: (np.unique(h[to[text] - runs[text] : to[text]]), set())}
+            hashes, whole = own[text]
+            _, wanted, item_text = index.items[item]
+            place = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+            if int((hashes[place] == wanted).sum()) >= likeness * len(wanted) - 1e-9:
+                if not whole:
+                    whole |= exact_shingles(texts[text].as_py(), size)
+                item_set = exact_shingles(item_text, size)
+                shared = len(item_set & whole)
+                if shared >= likeness * len(item_set) - 1e-9:
+                    hits.append((text, item, shared, len(item_set)))
+    return hits
+
+
+def _search(index: Index, likeness: float, names: list[str], item_kind: DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
+        kind = to_arrow_type(item_kind)
         for b, data, offsets in pieces(batches, "text"):
-            hits: list[tuple[int, object, int, int]] = []
-            for size in index.groups:
-                h, runs = shingles(data, offsets, size, False)
-                if not len(h):
-                    continue
-                to = np.cumsum(runs)
-                own: dict[int, np.ndarray] = {}
-                for text, item in sorted(index.candidates(size, h, runs)):
-                    if text not in own:
-                        own = {text: np.unique(h[to[text] - runs[text] : to[text]])}
-                    key, wanted = index.items[item]
-                    place = np.minimum(np.searchsorted(own[text], wanted), len(own[text]) - 1)
-                    shared = int((own[text][place] == wanted).sum())
-                    if shared >= likeness * len(wanted) - 1e-9:
-                        hits.append((text, key, shared, len(wanted)))
+            hits = _hits(index, likeness, b.column("text"), data, offsets)
             if hits:
-                text, key, shared, of = zip(*hits, strict=True)
+                text, item, shared, of = zip(*hits, strict=True)
+                keys = [index.items[i][0] for i in item]
                 ids = b.column("id").take(pa.array(text))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(key, kind), pa.array(shared, pa.int64()), pa.array(of, pa.int64()), pa.array(np.array(shared) / np.array(of))], [*names, "shared", "shingles", "containment"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(keys, kind), pa.array(shared, pa.int64()), pa.array(of, pa.int64()), pa.array(np.array(shared) / np.array(of))], [*names, "shared", "shingles", "containment"])
 
     return run
 

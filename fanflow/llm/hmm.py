@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fanflow.llm.common import RangeHash, crc_mod, lower_ascii, mix64, pieces, ragged, tokens, written
+from fanflow.llm.common import crc_mod, lower_ascii, mix64, pieces, ragged, range_hashes, tokens, written
 
 STATES = 8
 #: Words that are a class each; other words share classes by a hash of their last bytes.
@@ -33,14 +33,16 @@ def _hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Hash and class by ending of all tokens, each text's words and then its end, and the number of tokens of each text."""
     low = lower_ascii(data)
     starts, ends, first = tokens(low, offsets)
-    h = RangeHash(low)
     n = np.diff(first)
     word = np.full(len(starts) + len(n), END, np.uint64)
     ending = np.zeros(len(word), np.int32)
     text, _ = ragged(n)
     at = np.arange(len(starts)) + text
-    word[at] = h(starts, ends)
-    ending[at] = h(np.maximum(starts, ends - 3), ends) % np.uint64(ENDINGS)
+    word[at] = range_hashes(low, starts, ends)
+    last = np.zeros(len(starts), np.uint64)
+    for k in (1, 2, 3):
+        last = last << np.uint64(8) | np.where(ends - k >= starts, low[np.maximum(ends - k, 0)], 0).astype(np.uint64)
+    ending[at] = mix64(last) % np.uint64(ENDINGS)
     return word, ending, n + 1
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fanflow.llm.common import written
@@ -147,7 +147,7 @@ def _flight(rows: DataFrame, kind: str, last: bool) -> DataFrame:
     return ordered.mapInArrow(run, _FLOWN.format(kind=kind))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: float = MOST, key: Column | None = None) -> DataFrame:
     """(id, hash, source, size, source_size, target, taken) for each row of docs: the words that the mix takes of it, repeats counted.
 
     Every document is taken whole: floor(target / source size) times, and once more for a balanced sample of its source,
@@ -155,10 +155,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     units that each block leaves meet in blocks again until a source has one block, of which LANDING units wait and land
     with those left: their best subset settles what the flight could not. Draws come from a hash of id and text: reruns agree whatever the partitions. Null texts
     have size 0, which is never taken; null sources are a source of their own; repeated rows are units of their own;
-    an empty table gives none. hash is row_hash().
+    an empty table gives none. hash is row_hash(), or key if that is given: what tells rows apart that aren't alike.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), row_hash(id_col, text_col).alias("hash"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), (row_hash(id_col, text_col) if key is None else key).alias("hash"))
     sizes = written(base, "mix-sizes")
     goal = written(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "of")
     sources, largest = goal.agg(F.count(F.lit(1)), F.max("n")).first()

@@ -27,8 +27,8 @@ SAMPLED, SEEN, COMMON = 32, 3, 500_000
 BUCKETS, COUNTED = 256, 1_000_000
 #: Keys of sets that one broadcast may hold (about 100 MB).
 SENT = 1_500_000
-#: Shingle sets of a part of a large group.
-PART_ROWS = 1024
+#: Shingle sets of a part of a large group, and about as many shingles.
+PART_ROWS, PART_SHINGLES = 1024, 4_000_000
 
 
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
@@ -160,8 +160,8 @@ def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
     return run
 
 
-def _common(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
-    """Shingles of many documents, ascending: those of SEEN or more of every SAMPLED-th text. They only order the shingles, so none need be found."""
+def _common(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many documents, ascending, and their counts: those of SEEN or more of every SAMPLED-th text. They only order the shingles, so none need be found."""
     sets = _sets(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,25 +170,29 @@ def _common(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
 
     some = docs.select(F.col(text_col).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
     often = some.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= SEEN)
-    return np.sort(often.orderBy(F.desc("c"), "h").limit(COMMON).toArrow().column("h").to_numpy().view(np.uint64))
+    found = often.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
+    h, c = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
+    order = np.argsort(h)
+    return h[order], c[order]
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness: float) -> DataFrame:
     """One row (id, fp: long key of the shingle set, n, keys, counts) for each row of docs: keys are the first shingles of the set.
 
     In any one order of all shingles, two sets of likeness 0.8 have one of their first n - ceil(0.8 n) + 1 in common;
-    here common shingles come last. counts has the shingles by bucket of their hash. Texts of fewer words are one shingle; texts without words have none, and one fp.
+    here the commoner ones come last. counts has the shingles by bucket of their hash. Texts of fewer words are one shingle; texts without words have none, and one fp.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    sets, common = _sets(words), _common(docs, text_col, words)
+    sets, (common, often) = _sets(words), _common(docs, text_col, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, h, cut, fp in sets(batches):
             n = np.diff(cut)
             text, place = ragged(n)
-            late = np.zeros(len(h), bool)
+            late = np.zeros(len(h), np.int64)
             if len(common) and len(h):
-                late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
+                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+                late = np.where(common[at] == h, often[at], 0)
             ordered = h[np.lexsort((h, late, text))]
             first = np.where(n > 0, n - np.ceil(likeness * n - 1e-9).astype(np.int64) + 1, 0)
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), signed(ordered[place < first[text]]))
@@ -223,40 +227,109 @@ def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").filter(_alike(shared, F.size("set_a"), F.size("set_b"), likeness)).select("a", "b")
 
 
-def _across(likeness: float):
-    """Links between components in the parts of large groups, by exact likeness: rows sorted by group and pair of parts."""
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    def close(held: list[tuple]) -> pa.RecordBatch:
-        ids, roots = (np.array([x[k] for x in held]) for k in (0, 1))
-        sets, found = [x[2] for x in held], []
-        n = np.array([len(x) for x in sets])
-        names, counts = np.unique(roots, return_counts=True)
-        for name in names[np.argsort(counts, kind="stable")][:-1]:  # those of the commonest are met as the others'
-            for at in np.flatnonzero(roots == name):
-                for to in np.flatnonzero((roots != roots[at]) & _alike(np.minimum(n, n[at]), n, n[at], likeness)):
-                    if roots[to] != roots[at]:
-                        x, y = sets[at], sets[to]
-                        if _alike(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()), len(x), len(y), likeness):
-                            found.append((ids[at], ids[to]))
-                            roots[roots == roots[at]] = roots[to]
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+def _by_cell(close: Callable[[list[tuple]], pa.RecordBatch], columns: tuple[str, ...]):
+    """Rows sorted by group and pair of parts, given to close() for each pair: the columns, counts and hashes as arrays."""
+
+    def value(c: str, x: pa.Scalar):
+        return x.values.to_numpy().view(np.uint64) if c == "hashes" else x.values.to_numpy() if c == "counts" else x.as_py()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for b in batches:
-            for k, i, j, fp, root, hashes in zip(*(b.column(c) for c in ("k", "i", "j", "fp", "root", "hashes")), strict=True):
+            for k, i, j, *row in zip(*(b.column(c) for c in ("k", "i", "j", *columns)), strict=True):
                 here = (k.as_py(), i.as_py(), j.as_py())
                 if here != key:
                     if held:
                         yield close(held)
                     key, held = here, []
-                held.append((fp.as_py(), root.as_py(), hashes.values.to_numpy().view(np.uint64)))
+                held.append(tuple(map(value, columns, row)))
         if held:
             yield close(held)
 
     return run
 
 
+class _Cell:
+    """Rows of a pair of parts: who may be like whom, by sizes and counts of shingles in buckets, across components."""
+
+    def __init__(self, held: list[tuple], likeness: float):
+        self.ids, self.roots, self.n = (np.array([x[k] for x in held]) for k in (0, 1, 2))
+        self.counts, self.likeness = np.stack([x[3] for x in held]).astype(np.int32), likeness
+
+    def near(self, at: int, some: np.ndarray) -> np.ndarray:
+        """Those of the rows some that can have this likeness with row at, the likeliest first."""
+        some = some[_alike(np.minimum(self.n[some], self.n[at]), self.n[some], self.n[at], self.likeness)]
+        most = np.minimum(self.counts[some], self.counts[at]).sum(1)
+        fits = (np.maximum(self.n[some], self.n[at]) > COUNTED) | _alike(most, self.n[some], self.n[at], self.likeness)
+        return some[fits][np.argsort(-(most / (self.n[some] + self.n[at]))[fits], kind="stable")]
+
+    def apart(self) -> Iterator[int]:
+        """Rows of all components but the commonest: its rows are met as the others' partners."""
+        names, counts = np.unique(self.roots, return_counts=True)
+        for name in names[np.argsort(counts, kind="stable")][:-1]:
+            yield from np.flatnonzero(self.roots == name)
+
+
+def _may_meet(likeness: float):
+    """Links (a, b) that span the rows which may be alike across components in each pair of parts."""
+
+    def close(held: list[tuple]) -> pa.RecordBatch:
+        cell, label, found = _Cell(held, likeness), np.arange(len(held)), []
+        for at in list(cell.apart()):
+            near = cell.near(at, np.flatnonzero(cell.roots != cell.roots[at]))
+            for name in np.setdiff1d(label[near], label[at]):
+                found.append((cell.ids[at], cell.ids[name]))
+                label[label == name] = label[at]
+        return _edges(found)
+
+    return _by_cell(close, ("fp", "root", "n", "counts"))
+
+
+def _across(likeness: float):
+    """Links (a, b) that join the components in each pair of parts, by exact likeness of whole sets."""
+
+    def close(held: list[tuple]) -> pa.RecordBatch:
+        cell, sets, found = _Cell(held, likeness), [x[4] for x in held], []
+        for at in list(cell.apart()):
+            x = sets[at]
+            for to in cell.near(at, np.flatnonzero(cell.roots != cell.roots[at])):
+                if cell.roots[to] != cell.roots[at]:
+                    y = sets[to]
+                    if _alike(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()), len(x), len(y), likeness):
+                        found.append((cell.ids[at], cell.ids[to]))
+                        cell.roots[cell.roots == cell.roots[at]] = cell.roots[to]
+        return _edges(found)
+
+    return _by_cell(close, ("fp", "root", "n", "counts", "hashes"))
+
+
+def _dealt(rooted: DataFrame) -> DataFrame:
+    """(k, i, j, fp, root) from (k, fp, n, root): each group of several components is cut into parts, and rows go to pairs of parts.
+
+    The rows of the commonest component meet all others, but not one another: with m other rows and d of its own, about
+    d * (m / PART_ROWS + 1) + m * ((m + d) / PART_ROWS + 1) rows are made, in proportion to the group while m is small.
+    """
+    whole = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("c"), F.bit_xor("fp").alias("x"), F.bit_xor(F.xxhash64("fp")).alias("y"), F.sum("n").alias("all")).filter("least <> most")
+    apart = whole.groupBy("c", "x", "y").agg(F.min(F.struct("k", "all")).alias("one")).select("one.*", F.col("c").alias("size"))  # one of the groups with the same members
+    top = rooted.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.max(F.struct("c", "root")).alias("top"))
+    groups = written(apart.join(top, "k"), "simhash-apart")
+    parts = lambda rows: F.ceil(F.greatest(rows / PART_ROWS, F.col("all") * rows / F.col("size") / PART_SHINGLES))
+    rest = rooted.select("k", "fp", "root").join(groups, "k").withColumn("pd", parts(F.col("top.c"))).withColumn("pm", parts(F.col("size") - F.col("top.c")))
+    own, h = F.col("root") == F.col("top.root"), F.xxhash64("fp")
+    part = F.when(own, F.col("pm") + F.pmod(h, "pd")).otherwise(F.pmod(h, "pm"))
+    to = F.when(own, F.col("pm")).otherwise(F.col("pm") + F.col("pd")) - 1
+    cells = F.transform(F.sequence(F.lit(0).cast("long"), to), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
+    return rest.withColumn("part", part).select("k", "fp", "root", F.explode(cells).alias("ij")).select("k", "ij.i", "ij.j", "fp", "root")
+
+
+def _cells(dealt: DataFrame, *columns: str) -> DataFrame:
+    return dealt.select("k", "i", "j", *columns).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
+
+
 def set_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, likeness: float = 0.8) -> DataFrame:
     """Edges (a, b) that connect exactly the shingle sets of distinct (fp, n, keys, counts) that chains of pairs of this likeness connect.
 
@@ -265,9 +338,10 @@ def set_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, l
     larger groups count as shared), and in each bucket at most the lesser count: neither bound loses a near pair, and
     they spare most others the check. Larger groups give a star to their least member,
     and after that only members of components that are still apart are compared, in pairs of parts of PART_ROWS rows, so
-    that no task compares a whole group. Group sizes are combined before the shuffle.
+    that no task compares a whole group: first by sizes and buckets, then, in the groups of those that may be alike, by
+    whole sets. Each pair of parts gives spanning links alone. Group sizes are combined before the shuffle.
     """
-    keyed = distinct.select("fp", F.explode("keys").alias("k"))
+    keyed = distinct.select("fp", "n", F.explode("keys").alias("k"))
     groups = keyed.groupBy("k").agg(F.min("fp").alias("lo"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(keyed.join(groups, "k"), "simhash-members")
     listed = members.filter(F.col("size") <= FEW).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids")).groupBy("ids").agg(F.count(F.lit(1)).alias("c"))
@@ -291,16 +365,14 @@ def set_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, l
     if crowded.isEmpty():
         return near
     roots = written(components(near), "simhash-roots").withColumnRenamed("a", "fp")
-    rooted = written(crowded.select("k", "fp", "size").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-crowded")
-    apart = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("c"), F.bit_xor("fp").alias("x"), F.bit_xor(F.xxhash64("fp")).alias("y")).filter("least <> most")
-    apart = apart.groupBy("c", "x", "y").agg(F.min("k").alias("k")).select("k")  # one of the groups with the same members
-    rest = written(rooted.join(apart, "k"), "simhash-rest").withColumn("parts", F.ceil(F.col("size") / PART_ROWS))
-    members = written(rest.select("fp").distinct(), "simhash-wanted")
-    part = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    deal = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
-    dealt = rest.withColumn("part", part).select("k", "fp", "root", F.explode(deal).alias("ij")).join(shingle_sets(docs, members, text_col, words), "fp")
-    dealt = dealt.select("k", "ij.i", "ij.j", "fp", "root", "hashes").repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-    across = written(dealt.mapInArrow(_across(likeness), "a long, b long"), "simhash-across")
+    rooted = lambda rows: rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    facts = distinct.select("fp", "n", "counts")
+    dealt = _dealt(written(rooted(crowded.select("k", "fp", "n")), "simhash-crowded")).join(facts, "fp")
+    met = written(_cells(dealt, "fp", "root", "n", "counts").mapInArrow(_may_meet(likeness), "a long, b long"), "simhash-met")
+    group = written(components(met), "simhash-groups").select(F.col("a").alias("fp"), F.col("root").alias("k"))
+    sets = written(shingle_sets(docs, written(group.select("fp"), "simhash-wanted"), text_col, words).join(facts, "fp"), "simhash-sets")
+    dealt = _dealt(written(rooted(group.join(facts.select("fp", "n"), "fp")), "simhash-crowded")).join(sets, "fp")
+    across = written(_cells(dealt, "fp", "root", "n", "counts", "hashes").mapInArrow(_across(likeness), "a long, b long"), "simhash-across")
     return roots.select(F.col("fp").alias("a"), F.col("root").alias("b")).unionByName(across)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ _KEY = ["id", "mark"]
 
 
 def _sampled(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """The sampled positions: text, place, least and most offset of the strings that each stands for, its hash, and their hash.
+    """The sampled positions: text, place, least and most offset of the strings that each stands for, its hash, and the hash of all their bytes.
 
     A string of length bytes is sampled at the gram in it of least hash, the first of several. That depends on its bytes
     alone, so equal strings are sampled at the same offset; runs of neighbouring strings share a sampled position.
@@ -51,7 +52,9 @@ def _sampled(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(a)) - 1
     lo, hi, a, text = start[first], start[last], a[first], text[first]
-    return text, a - offsets[:-1][text], a - hi, a - lo, h(a, a + gram), h(lo, hi + length)
+    raw = memoryview(data)
+    context = np.fromiter((xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(lo.tolist(), (hi + length).tolist(), strict=True)), np.uint64, len(lo))
+    return text, a - offsets[:-1][text], a - hi, a - lo, h(a, a + gram), context
 
 
 def _samples(rows: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
@@ -62,7 +65,7 @@ def _samples(rows: DataFrame, kind: str, length: int, gram: int) -> DataFrame:
                 keys = [b.column(c).take(pa.array(text)) for c in _KEY]
                 yield pa.RecordBatch.from_arrays([*keys, pa.array(place), pa.array(least.astype(np.int32)), pa.array(most.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(f.view(np.int64))], [*_KEY, "place", "least", "most", "h", "f"])
 
-    return rows.mapInArrow(run, f"id {kind}, mark int, place bigint, least int, most int, h bigint, f bigint")
+    return rows.mapInArrow(run, f"id {kind}, mark bigint, place bigint, least int, most int, h bigint, f bigint")
 
 
 _TUPLE = "h bigint, f bigint, n bigint, least int, most int, before binary, after binary"
@@ -187,15 +190,16 @@ def _repeated(tuples: DataFrame, length: int) -> DataFrame:
 
 
 def _counted(tuples: DataFrame, length: int) -> DataFrame:
-    """The same for sampled strings with more tuples than a task should hold: every string by itself, counted by two hashes."""
+    """The same for sampled strings with more tuples than a task should hold: every string by itself, counted by 128-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for h, f, n, least, most, before, after in zip(*(b.column(c).to_pylist() for c in ("h", "f", "n", "least", "most", "before", "after")), strict=True):
-                raw = np.frombuffer(before[::-1] + after, np.uint8)
+                raw = before[::-1] + after
                 k = np.arange(least, most + 1)
                 start = most - k
-                one, two = (RangeHash(raw, s)(start, start + length).view(np.int64) for s in (2, 3))
+                digests = b"".join(xxhash.xxh3_128_digest(raw[s : s + length]) for s in start.tolist())
+                one, two = np.frombuffer(digests, np.int64).reshape(-1, 2).T
                 same = pa.array(np.full(len(k), h)), pa.array(np.full(len(k), f)), pa.array(np.full(len(k), n))
                 yield pa.RecordBatch.from_arrays([*same, pa.array(k.astype(np.int32)), pa.array(one), pa.array(two)], ["h", "f", "n", "k", "one", "two"])
 
@@ -228,9 +232,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, carried: tuple[str, ...] = ()) -> DataFrame:
-    mark = F.xxhash64(text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     rest = [F.struct(*carried).alias("rest")] if carried else []
-    return docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), *rest)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), *rest)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, carried: tuple[str, ...] = (), whole_characters: bool = False) -> DataFrame:
@@ -270,7 +273,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 kept = [k.decode("utf-8", "ignore").encode() for k in kept]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("mark"), *(pa.array(x, pa.int64()) for x in (size, removed, count)), pa.array(kept, pa.binary()), *(b.column(c) for c in rest)], ["id", "mark", "n_bytes", "n_removed", "n_spans", "kept", *rest])
 
-    found = both.mapInArrow(run, f"id {kind}, mark int, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary" + "".join(f", rest {rows.schema[c].dataType.simpleString()}" for c in rest))
+    found = both.mapInArrow(run, f"id {kind}, mark bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary" + "".join(f", rest {rows.schema[c].dataType.simpleString()}" for c in rest))
     return found.withColumnRenamed("id", id_col)
 
 
