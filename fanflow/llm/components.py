@@ -16,7 +16,7 @@ def _are_stars(edges: DataFrame) -> bool:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges (a, b: long) to (a: long, root: long): each vertex of an edge with the smallest vertex that it reaches.
+    """edges (a, b: of one orderable type) to (a, root): each vertex of an edge with the smallest vertex that it reaches.
 
     Loops and repeated edges do no harm; an empty table gives an empty table. Every round is a minimum by vertex
     (combined before the shuffle) joined back to the edges of a written table, where Spark splits the edges of a hub among

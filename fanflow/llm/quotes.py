@@ -94,37 +94,78 @@ def link(parsed: DataFrame) -> DataFrame:
     return best.select("conv", "turn", "quote", "level", "o.from_conv", "o.from_turn")
 
 
+def _previous(nodes: DataFrame) -> DataFrame:
+    """nodes (conv, turn: distinct, not null) with prev_turn, the next lower turn of the conversation: sorted in blocks of TURNS turns."""
+    cut = nodes.withColumn("block", F.floor(F.col("turn") / TURNS))
+    last = cut.groupBy("conv", "block").agg(F.max("turn").alias("last"))
+    before = last.withColumn("before", F.lag("last").over(Window.partitionBy("conv").orderBy("block"))).drop("last")
+    inside = cut.withColumn("prev_turn", F.lag("turn").over(Window.partitionBy("conv", "block").orderBy("turn")))
+    return inside.join(before, ["conv", "block"]).select("conv", "turn", F.coalesce("prev_turn", "before").alias("prev_turn"))
+
+
+def depths(parents: DataFrame) -> DataFrame:
+    """(conv, turn, depth) from distinct messages (conv, turn, up: struct of conv and turn, or null): how many replies lead to each.
+
+    Rounds of joins double the distance to the ancestor that each message knows, so their number grows with the
+    logarithm of the longest chain. Where replies run in a circle, the least message of it counts as its first.
+    """
+    me = F.struct("conv", "turn")
+    state = written(parents.select("conv", "turn", "up", F.col("up").isNotNull().cast("long").alias("depth"), F.when(F.col("up").isNull(), me).otherwise(F.least(me, "up")).alias("least")), "quote-depth")
+    seen = None
+    while (now := state.filter("up is not null").agg(F.count(F.lit(1)), F.sum(F.xxhash64("least") % 2**31)).first())[0] and now != seen:
+        ends = state.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("far"), F.col("depth").alias("more"), F.col("least").alias("low"))
+        far = state.filter("up is not null").join(ends, (F.col("up.conv") == F.col("c")) & (F.col("up.turn") == F.col("t")))
+        far = far.select("conv", "turn", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.least("least", "low").alias("least"))
+        state, seen = written(state.filter("up is null").unionByName(far), "quote-depth"), now
+    if not now[0]:
+        return state.select("conv", "turn", "depth")
+    first = state.filter("up is not null").select("least.*").distinct()  # the least messages of circles, and none besides
+    return depths(parents.join(first.withColumn("first", F.lit(True)), ["conv", "turn"], "left").select("conv", "turn", F.when(F.col("first").isNull(), F.col("up")).alias("up")))
+
+
+def placed(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """rows with position: their number from 1 within by, in this order. Rows are dealt by ranges of all of these, so that no group lies in one task."""
+    n = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartitionByRange(n, by, *order).sortWithinPartitions(by, *order).withColumn("at", F.monotonically_increasing_id())
+    dealt = written(dealt, "quote-placed").withColumn("part", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND(F.lit(2**33 - 1)))
+    parts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    parts = parts.select("part", F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    dealt = dealt.join(F.broadcast(parts), "part").withColumn("at", F.col("at") + F.col("before"))
+    start = dealt.groupBy(F.col(by).alias("group")).agg(F.min("at").alias("start"))
+    return dealt.join(start, F.col(by).eqNullSafe(F.col("group"))).withColumn("position", F.col("at") - F.col("start") + 1).drop("part", "before", "at", "start", "group")
+
+
 def conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row for each message: (conv_col, turn_col, role, conversation, position, reply_conv, reply_turn, quotes, linked, text, formatted).
+    """One row for each message: (conv_col, turn_col, role, conversation, position, depth, reply_conv, reply_turn, quotes, linked, text, formatted).
 
     text is the message without quotes, formatted the same under its role's header. A message replies to the original
     of its last outermost quote, else to the turn before it in its conversation, else to none. Conversations that quote
-    one another are one (conversation: the smallest id that links reach), in which position counts the messages in
-    reply order: a reply never comes before what it replies to in its own conversation. Null texts are empty, null
-    conversations stay apart from all others as one, equal turns are ordered by conversation and text; repeated rows stay.
+    one another are one (conversation: the smallest id that links reach), in which position counts the messages by
+    depth, the number of replies that lead to them, then conversation, turn and text: a reply comes after what it
+    replies to, whichever conversation that is of. (If replies run in a circle, its least message counts as its first.)
+    Null texts are empty, null conversations stay apart from all others as one, null turns come first; repeated rows stay.
     """
     parsed = written(messages(turns, conv_col, turn_col, role_col, text_col), "quote-parsed")
     links = written(link(parsed), "quote-links")
-    edges = links.filter("from_conv <> conv").select(F.col("conv").cast("long").alias("a"), F.col("from_conv").cast("long").alias("b"))
+    edges = links.filter("from_conv <> conv").select(F.col("conv").alias("a"), F.col("from_conv").alias("b"))
     roots = written(components(edges), "quote-roots")
     reply = links.groupBy("conv", "turn").agg(F.max_by(F.struct("from_conv", "from_turn"), F.struct(-F.col("level"), "quote")).alias("o"), F.count(F.lit(1)).alias("linked"))
-    reply = reply.select(F.col("conv").alias("c"), F.col("turn").alias("t"), "o", "linked")
+    nodes = _previous(parsed.select("conv", "turn").filter("conv is not null and turn is not null").distinct())
+    previous = F.when(F.col("prev_turn").isNotNull(), F.struct("conv", F.col("prev_turn").alias("turn")))
+    original = F.when(F.col("o").isNotNull(), F.struct(F.col("o.from_conv").alias("conv"), F.col("o.from_turn").alias("turn")))
+    parents = written(nodes.join(reply, ["conv", "turn"], "left").select("conv", "turn", F.coalesce(original, previous).alias("up")), "quote-parents")
+    facts = depths(parents).join(parents, ["conv", "turn"]).select("conv", "turn", "depth", "up")
+    odd = reply.filter("conv is null or turn is null").select("conv", "turn", F.lit(0).cast("long").alias("depth"), F.struct(F.col("o.from_conv").alias("conv"), F.col("o.from_turn").alias("turn")).alias("up"))
+    facts = facts.unionByName(odd).join(reply.select(F.col("conv").alias("rc"), F.col("turn").alias("rt"), "linked"), F.col("conv").eqNullSafe(F.col("rc")) & F.col("turn").eqNullSafe(F.col("rt")), "left")
+    facts = facts.select(F.col("conv").alias("c"), F.col("turn").alias("t"), "depth", "up", "linked")
     rows = parsed.select("conv", "turn", "role", "own", F.size("quotes").alias("quotes"))
-    rows = rows.join(reply, F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left").drop("c", "t")
+    rows = rows.join(facts, F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left").drop("c", "t")
     rows = rows.join(roots, F.col("conv") == F.col("a"), "left").withColumn("conversation", F.coalesce("root", "conv")).drop("a", "root")
-    rows = written(rows.withColumn("block", F.floor(F.col("turn") / TURNS)), "quote-rows")
-    by = Window.partitionBy("conversation").orderBy("block")
-    sizes = rows.groupBy("conversation", "block").agg(F.count(F.lit(1)).alias("n"), F.max("turn").alias("last"))
-    before = sizes.select(F.col("conversation").alias("v"), F.col("block").alias("w"), F.coalesce(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rows = rows.join(before, F.col("conversation").eqNullSafe(F.col("v")) & F.col("block").eqNullSafe(F.col("w")))
-    place = Window.partitionBy("conversation", "block").orderBy("turn", "conv", "own")
-    previous = parsed.select("conv", "turn").distinct()
-    previous = previous.select(F.col("conv").alias("pc"), F.col("turn").alias("pt"))
-    rows = rows.join(previous, (F.col("conv") == F.col("pc")) & (F.col("turn") - 1 == F.col("pt")), "left")
+    rows = placed(rows.withColumn("depth", F.coalesce("depth", F.lit(0))), "conversation", ["depth", "conv", "turn", "own"])
     text = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), "own", F.lit("\n"))
     return rows.select(
-        F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "conversation", (F.col("before") + F.row_number().over(place)).alias("position"),
-        F.coalesce("o.from_conv", "pc").alias("reply_conv"), F.coalesce("o.from_turn", "pt").alias("reply_turn"), "quotes", F.coalesce("linked", F.lit(0)).alias("linked"), F.col("own").alias("text"), text.alias("formatted"),
+        F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "role", "conversation", "position", "depth",
+        F.col("up.conv").alias("reply_conv"), F.col("up.turn").alias("reply_turn"), "quotes", F.coalesce("linked", F.lit(0)).alias("linked"), F.col("own").alias("text"), text.alias("formatted"),
     )
 
 

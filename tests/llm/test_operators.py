@@ -406,7 +406,7 @@ def test_naive_bayes_matches_brute_force(spark):
 def test_quotes(spark):
     rows = [(1, 0, "user", "Hello there.\nHow are you?"), (1, 1, "assistant", "On Monday A wrote:\n> How   are YOU?\nFine, thanks."), (1, 2, "user", "> On Monday A wrote:\n>> How are you?\n> Fine, thanks.\nGood."), (2, 0, "user", "> Good.\nWhy good?"), (3, 0, None, None), (None, 0, "user", "x"), (3, None, "user", "> nothing known"), (3, 0, None, None)]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("own", F.lit(1))
-    found = [tuple(r) for r in quotes.conversations(df).drop("formatted").collect()]
+    found = [tuple(r) for r in quotes.conversations(df).drop("formatted", "depth").collect()]
     assert len(found) == len(rows) and {f[3] for f in found if f[0] in (1, 2)} == {1}
     assert {(f[0], f[1], f[5], f[6], f[7], f[8], f[9]) for f in found if f[0] in (1, 2)} == {(1, 0, None, None, 0, 0, "Hello there.\nHow are you?"), (1, 1, 1, 0, 1, 1, "Fine, thanks."), (1, 2, 1, 1, 3, 2, "Good."), (2, 0, 1, 2, 1, 1, "Why good?")}
     assert quotes.conversations(df.limit(0)).count() == 0
@@ -420,6 +420,63 @@ def test_quotes_of_passages_that_the_least_conversation_says_itself(spark):
     assert found == {(1, 0): (5, 3, 1), (5, 3): (None, None, 0), (7, 2): (None, None, 0), (7, 4): (7, 2, 1), (9, 0): (1, 0, 1), (None, 1): (1, 0, 1)}
 
 
+def brute_replies(rows):
+    """(original, depth) of each message by dictionaries: rows (conv, turn, text), conv and turn not null and distinct."""
+    read = {(c, t): quotes.parse(x) for c, t, x in rows}
+    up = {}
+    for (c, t), (_, passages) in read.items():
+        found = []
+        for n, (level, passage) in enumerate(passages):
+            best = None
+            for rank, h in enumerate(quotes.passage_hashes(passage)):
+                said = sorted(k for k, (own, _) in read.items() if h in quotes.passage_hashes(own))
+                here = [k for k in said if k[0] == c and k[1] < t]
+                there = [k for k in said if k[0] != c]
+                best = min([x for x in [best, (0, rank, here[0]) if here else None, (1, rank, there[0]) if there else None] if x], default=None)
+            if best:
+                found.append((-level, n, best[2]))
+        before = [k for k in read if k[0] == c and k[1] < t]
+        up[c, t] = max(found)[2] if found else max(before, default=None)
+    first = set()
+    for k in up:
+        seen, at = [], k
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = up[at]
+        if at is not None:
+            first.add(min(seen[seen.index(at) :]))
+    depth = {}
+    for k in up:
+        n, at = 0, k
+        while at not in first and up[at] is not None:
+            n, at = n + 1, up[at]
+        depth[k] = n
+    return up, depth
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_quotes_match_brute_force(spark, kind):
+    r = random.Random(8)
+    said = [f"This is remark {k}." for k in range(30)]
+    rows = [(c, t, "\n".join([*(f"> {r.choice(said)}" for _ in range(r.choice([0, 0, 1]))), *r.sample(said, 1), *(["A common line."] if c % 2 else ["> A common line."])])) for c in range(1, 25) for t in range(0, r.randint(1, 9), r.choice([1, 2]))]
+    df = spark.createDataFrame(rows, f"conv_id bigint, turn int, text string").withColumn("conv_id", F.col("conv_id").cast(kind) if kind == "bigint" else F.format_string("c%03d", "conv_id")).withColumn("role", F.lit(None).cast("string"))
+    number = int if kind == "bigint" else lambda c: int(c[1:])
+    up, depth = brute_replies(rows)
+    found = {(number(x.conv_id), x.turn): x for x in quotes.conversations(df).collect()}
+    assert {k: x.reply_conv and (number(x.reply_conv), x.reply_turn) for k, x in found.items()} == up
+    assert {k: x.depth for k, x in found.items()} == depth
+    for whole in {x.conversation for x in found.values()}:
+        members = sorted((k for k, x in found.items() if x.conversation == whole), key=lambda k: (depth[k], k))
+        assert [found[k].position for k in members] == list(range(1, len(members) + 1))
+    assert all(found[k].position > found[v].position for k, v in up.items() if v is not None and depth[k])
+
+
+def test_replies_in_a_circle(spark):
+    rows = [(1, 0, "> b\na"), (2, 0, "> a\nb"), (3, 0, "> b\nc"), (3, 7, "d")]
+    found = {(x.conv_id, x.turn): (x.depth, x.position, x.reply_conv) for x in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn int, text string").withColumn("role", F.lit("user"))).collect()}
+    assert found == {(1, 0): (0, 1, 2), (2, 0): (1, 2, 1), (3, 0): (2, 3, 2), (3, 7): (3, 4, 3)}
+
+
 def test_pipeline(spark):
     docs, sizes = documents(spark), []
     for _, stage in corpus_pipeline.STAGES[:-1]:
