@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -13,8 +14,8 @@ from fanflow.llm.common import written
 
 #: Rules (verdict, host/path prefix).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-#: Longest word that a name is split into, and rows of a table that is sent to every task.
-LONGEST, SMALL_TABLE = 24, 200_000
+#: Letters up to which words and names are their own keys in joins (longer ones go by their MD5), and rows of a table that is sent to every task.
+PLAIN, SMALL_TABLE = 32, 200_000
 _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,21 +41,39 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def page_words(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(word, c) of all letter runs of up to LONGEST letters in the pages' text, tags left out, lower-cased."""
+    """(word, c) of all letter runs in the pages' text, tags left out, lower-cased."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), "<[^>]*>", " "))
     words = pages.select(F.explode(F.split(text, "[^\\p{L}]+")).alias("word"))
-    return words.filter((F.col("word") != "") & (F.char_length("word") <= LONGEST)).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    return words.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("c"))
 
 
-def viterbi(name: str, cost: dict[str, float], total: int) -> list[str]:
-    """The likeliest split of a name into words; a part that is no known word of n letters has probability 1 / (10^n (total + 1))."""
-    unknown = math.log(total + 1)
+def _key(text: str) -> str:
+    return text if len(text) <= PLAIN else "#" + hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _key_of(column: str) -> Column:
+    return F.when(F.char_length(column) <= PLAIN, F.col(column)).otherwise(F.concat(F.lit("#"), F.md5(F.col(column).cast("binary"))))
+
+
+def viterbi(name: str, cost: dict[str, float], total: int, lengths: list[int] | None = None) -> list[str]:
+    """The likeliest split of a name into words, given by _key(); a part that is no known word of n letters has probability 1 / (10^n (total + 1)).
+
+    lengths are those of the known words (by default, of the keys). Work grows with the name's length times their number.
+    """
+    lengths = sorted({len(k) for k in cost}) if lengths is None else sorted(lengths)
+    unknown, letter = math.log(total + 1), math.log(10)
     best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
+    lead, start = 0.0, 0  # the best place for an unknown part to start
     for e in range(1, len(name) + 1):
-        for s in range(max(0, e - LONGEST), e):
-            c = best[s] + cost.get(name[s:e], unknown + math.log(10) * (e - s))
-            if c < best[e]:
-                best[e], back[e] = c, s
+        if best[e - 1] - letter * (e - 1) < lead:
+            lead, start = best[e - 1] - letter * (e - 1), e - 1
+        best[e], back[e] = lead + letter * e + unknown, start
+        for n in lengths:
+            if n > e:
+                break
+            c = cost.get(_key(name[e - n : e]))
+            if c is not None and best[e - n] + c < best[e]:
+                best[e], back[e] = best[e - n] + c, e - n
     words, e = [], len(name)
     while e:
         words.append(name[back[e] : e])
@@ -65,20 +84,42 @@ def viterbi(name: str, cost: dict[str, float], total: int) -> list[str]:
 def segments(names: DataFrame, words: DataFrame) -> DataFrame:
     """(name, parts) of distinct names: substrings of each name meet the word counts by a join, then a helper splits the name.
 
-    No vocabulary is held: a name brings its own possible words. Names of no letter aren't expected here.
+    No vocabulary is held: a name brings its own possible words, of all lengths that words have, so its rows grow with its
+    length times the number of such lengths (which alone go to the driver). Names of no letter aren't expected here.
     """
-    total = words.agg(F.sum("c")).first()[0] or 0
-    cut = F.expr(f"flatten(transform(sequence(1, char_length(name)), i -> transform(sequence(1, least({LONGEST}, char_length(name) - i + 1)), n -> substring(name, i, n))))")
-    tried = names.select("name", F.explode(F.array_distinct(cut)).alias("word"))
-    known = tried.join(words, "word").groupBy("name").agg(F.collect_list(F.struct("word", "c")).alias("known"))
-    both = names.join(known, "name", "left")
+    words = written(words.select(_key_of("word").alias("word"), "c", F.char_length("word").alias("n")), "url-words")
+    by_length = words.groupBy("n").agg(F.sum("c").alias("c")).collect()
+    total, lengths = sum(r.c for r in by_length), sorted(r.n for r in by_length)
+    keyed = names.select(_key_of("name").alias("key"), "name")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, name in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for n in lengths:
+                    if n > len(name):
+                        break
+                    found = {_key(name[i : i + n]) for i in range(len(name) - n + 1)}
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(found)), pa.array(sorted(found))], ["key", "word"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in cut(batches):
+            held.append(b)
+            rows += b.num_rows
+            if rows > 10_000:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    known = keyed.mapInArrow(merged, "key string, word string").join(words, "word").groupBy("key").agg(F.collect_list(F.struct("word", "c", "n")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [viterbi(n, {k["word"]: -math.log(k["c"] / total) for k in known or []}, total) for n, known in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            parts = [viterbi(n, {k["word"]: -math.log(k["c"] / total) for k in known or []}, total, list({k["n"] for k in known or []})) for n, known in zip(*(c.to_pylist() for c in b.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.list_(pa.string()))], ["name", "parts"])
 
-    return both.select("name", "known").mapInArrow(run, "name string, parts array<string>")
+    return keyed.join(known, "key", "left").select("name", "known").mapInArrow(run, "name string, parts array<string>")
 
 
 def judge(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:

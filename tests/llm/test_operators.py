@@ -383,10 +383,19 @@ def test_viterbi_matches_all_splits():
         assert price(urls.viterbi(name, cost, total)) == pytest.approx(min(map(price, splits)))
 
 
+def test_long_names_and_words(spark):
+    word = "donaudampfschifffahrtsgesellschaftskapitaensmuetze"
+    pages = spark.createDataFrame([(1, f"http://{word}haus.com/en/{'abcde' * 10_000}", f"<p>{word} haus {word}</p>")], "page_id int, url string, html string")
+    counts = urls.page_words(pages)
+    names = spark.createDataFrame([(word + "haus",), ("abcde" * 10_000,)], "name string")
+    assert {r.name: r.parts for r in urls.segments(names, counts).collect()} == {word + "haus": [word, "haus"], "abcde" * 10_000: ["abcde" * 10_000]}
+    assert urls.judge(pages).first().verdict == "block"
+
+
 def test_naive_bayes_matches_brute_force(spark):
     found = QUERIES["op1_url_filter"](spark, SF).collect()
     html = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
-    c = Counter(w for h in html for w in re.split(r"[^\W\d_]+".join(["(", ")"]), re.sub("<[^>]*>", " ", h).lower())[1::2] if len(w) <= urls.LONGEST)
+    c = Counter(w for h in html for w in re.split(r"[^\W\d_]+".join(["(", ")"]), re.sub("<[^>]*>", " ", h).lower())[1::2])
     total = sum(c.values())
     cost = {w: -math.log(n / total) for w, n in c.items()}
 
