@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ def routing_map(df: DataFrame, field: str, values: dict[str, str]) -> DataFrame:
     kind = df.schema[field].dataType
     if kind.typeName() in ("array", "map", "struct", "variant"):
         raise RoutingError(f"{field} is of type {kind.simpleString()}, which has no routing values")
-    made = df.sparkSession.createDataFrame([(str(v), d) for v, d in values.items()], "text string, destination_id string")
-    made = made.withColumn("_value", F.col("text").try_cast(kind))
+    table = pa.table({"text": pa.array([str(v) for v in values], pa.string()), "destination_id": pa.array(list(values.values()), pa.string())})
+    made = df.sparkSession.createDataFrame(table).withColumn("_value", F.col("text").try_cast(kind))  # a local relation: checked without a job
     bad = [r.text for r in made.filter(F.col("_value").isNull()).limit(5).collect()]
     if bad:
         raise RoutingError(f"{bad} are no values of {field}: {kind.simpleString()}")

@@ -411,16 +411,13 @@ def _lake(spark: SparkSession, sf_dir: str, last: int = END) -> tuple[Config, La
 
 
 def _held(spark: SparkSession, cfg: Config) -> DataFrame:
-    out = None
-    for d in cfg.destinations:
-        rows = LakeTable.load(spark, d.path).scan().withColumn("destination_id", F.lit(d.id))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    tables = {d.id: LakeTable.load(spark, d.path) for d in cfg.destinations}
+    return replicate.held_rows(spark, tables, {k: t.manifest() for k, t in tables.items()}, next(iter(tables.values())).schema)
 
 
 @_query(None)
 def snapshot_file_stats(spark, sf_dir):
-    return _lake(spark, sf_dir, 3)[1].files()
+    return _lake(spark, sf_dir)[1].files()
 
 
 @_query(_with(_state("s", 9)) + "SELECT * FROM s")

@@ -1,18 +1,25 @@
-"""One replication round over all destinations: a single scan from the oldest cursor, phases 1 to 3, one commit by destination."""
+"""One replication round over all destinations: a single scan from the oldest cursor, phases 1 to 3, one write, one commit by destination."""
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from fanflow.operators import cdc, cursors, routing
 from fanflow.sources.config import Config, Destination
-from fanflow.sources.lake import LakeTable
+from fanflow.sources.lake import LakeTable, fs_has_data
 
+#: Manifests that are read or swapped at once.
+MANIFEST_THREADS = 16
 log = logging.getLogger(__name__)
 
 
@@ -27,8 +34,8 @@ def window_for(changes: DataFrame, field: str, values: dict[str, str], starts: D
 
 
 def resolve(changes: DataFrame, field: str, keys: tuple[str, ...], pairing: str = "compatible") -> DataFrame:
-    """Phases 1 and 2 of what window_for() gives: one exchange, as both windows cluster by rowid."""
-    first = cdc.resolve_preimages(changes, field, keys, ("cursor",), pairing == "hardened")
+    """Phases 1 and 2 of what window_for() gives: one exchange by rowid, which both windows can use, whatever else they cluster by."""
+    first = cdc.resolve_preimages(changes.repartition("rowid"), field, keys, ("cursor",), pairing == "hardened")
     return cdc.resolve_conflicts(first, ("destination_id",))
 
 
@@ -42,89 +49,147 @@ def with_retry(operation: Callable[[], object], attempts: int = 3, wait: Callabl
             wait(2.0**n)
 
 
-def _tables(spark: SparkSession, cfg: Config, source: LakeTable) -> dict[str, tuple[Destination, LakeTable]]:
+Tables = dict[str, tuple[Destination, LakeTable]]
+
+
+def _tables(spark: SparkSession, cfg: Config, source: LakeTable) -> Tables:
     mine = set(cursors.assigned([d.id for d in cfg.destinations], cfg.mode, cfg.include, cfg.total, cfg.ordinal))
-    return {d.id: (d, LakeTable.create(spark, d.path, source.schema)) for d in cfg.destinations if d.id in mine}
+    with ThreadPoolExecutor(MANIFEST_THREADS) as pool:
+        made = pool.map(lambda d: LakeTable.create(spark, d.path, source.schema), wanted := [d for d in cfg.destinations if d.id in mine])
+        return {d.id: (d, t) for d, t in zip(wanted, made, strict=True)}
+
+
+def _each(tables: Tables, f: Callable[[str, LakeTable], object], wait: Callable[[float], None]) -> dict[str, object]:
+    """f for each destination (small files only), some at once; gives its result, or the error after all attempts."""
+
+    def one(key: str) -> object:
+        try:
+            return with_retry(lambda: f(key, tables[key][1]), wait=wait)
+        except Exception as e:
+            log.exception("destination %s failed", key)
+            return e
+
+    with ThreadPoolExecutor(MANIFEST_THREADS) as pool:
+        return dict(zip(tables, pool.map(one, tables), strict=True))
+
+
+def _cursor(manifest: dict) -> int:
+    return manifest["cursor"].get("snapshot", 0)
+
 
+def _now() -> str:
+    return datetime.now(UTC).isoformat(timespec="seconds")
 
-def _cursor(table: LakeTable) -> int:
-    return table.manifest()["cursor"].get("snapshot", 0)
 
+def _write(spark: SparkSession, cfg: Config, rows: DataFrame, schema: T.StructType) -> tuple[dict[str, str], dict[str, int]]:
+    """One job writes rows (with destination_id) of all destinations, a folder for each: (destination -> folder, destination -> rows)."""
+    at = f"{cfg.source_path}-rounds/{uuid.uuid4().hex}"
+    slot = F.substring(F.sha2(F.col("destination_id").cast("binary"), 256), 1, 16)
+    rows.select(*schema.names, slot.alias("slot")).write.partitionBy("slot").parquet(at)
+    slots = {hashlib.sha256(d.id.encode()).hexdigest()[:16]: d.id for d in cfg.destinations}
+    if not fs_has_data(at):
+        return {}, {}
+    counts = spark.read.schema(T.StructType([T.StructField("slot", T.StringType())])).parquet(at).groupBy("slot").count().collect()
+    return {slots[r.slot]: f"{at}/slot={r.slot}" for r in counts}, {slots[r.slot]: r["count"] for r in counts}
 
-def seed(spark: SparkSession, cfg: Config) -> dict[str, int]:
-    """New destinations (cursor 0) get the source's rows at one pinned snapshot; gives the rows of each. An error ends it."""
+
+def held_rows(spark: SparkSession, tables: dict[str, LakeTable], manifests: dict[str, dict], schema: T.StructType) -> DataFrame:
+    """Rows of all these destinations with destination_id, in one scan: a row's folder tells whose it is."""
+    folders = {folder: key for key, m in manifests.items() for folder in tables[key].folders(m)}
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("destination_id", T.StringType())]))
+    last = lambda path: "/".join(path.rstrip("/").split("/")[-2:])
+    of = pa.table({"_folder": [last(f) for f in folders], "destination_id": list(folders.values())})
+    rows = spark.read.schema(schema).parquet(*folders).withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), "([^/]+/[^/]+)/[^/]+$", 1))
+    of = spark.createDataFrame(of)
+    return rows.join(F.broadcast(of) if len(folders) <= routing.SMALL_MAP else of, "_folder").drop("_folder")
+
+
+def seed(spark: SparkSession, cfg: Config, wait: Callable[[float], None] = time.sleep) -> dict[str, int]:
+    """New destinations (cursor 0) get the source's rows at one pinned snapshot, by one write; gives the rows of each. An error ends it."""
     source = LakeTable.load(spark, cfg.source_path)
     snapshot = source.current_snapshot()
     if snapshot is None:
         return {}
-    new = {k: v for k, v in _tables(spark, cfg, source).items() if _cursor(v[1]) == 0}
-    done = {}
-    if new:
-        rows = routing.route(source.scan(snapshot), cfg.routing_field, {d.routing_value: d.id for d, _ in new.values()})
-        for key, (_, table) in new.items():
-            part = rows.filter(F.col("destination_id") == key).drop("destination_id")
-            table.replace(part, {"snapshot": snapshot})
-            done[key] = table.scan().count()
-            table.set_cursor({"rows": done[key], "error": None})
-    return done
+    new = {k: v for k, v in _tables(spark, cfg, source).items() if _cursor(v[1].manifest()) == 0}
+    if not new:
+        return {}
+    rows = routing.route(source.scan(snapshot), cfg.routing_field, {d.routing_value: d.id for d, _ in new.values()})
+    folders, counts = _write(spark, cfg, rows, source.schema)
+    done = lambda key, table: table.set_folders([folders[key]] if key in folders else [], {"snapshot": snapshot, "rows": counts.get(key, 0), "error": None, "replicated_at": _now()})
+    for result in _each(new, done, wait).values():
+        if isinstance(result, Exception):
+            raise result
+    return {key: counts.get(key, 0) for key in new}
 
 
 def run_once(spark: SparkSession, cfg: Config, wait: Callable[[float], None] = time.sleep) -> dict[str, dict]:
-    """One round; gives what happened to each destination. A failed destination keeps its cursor, the others go on."""
+    """One round; gives what happened to each destination. A failed destination keeps its cursor, the others go on.
+
+    The number of jobs doesn't depend on the number of destinations: one scan of changes from the oldest cursor, one scan
+    of what the changed destinations hold, one write. Append-only rounds write new rows alone. Then each destination's
+    manifest is swapped for one with the new folder and the new cursor, by a few threads; destinations without changes
+    get the cursor alone.
+    """
     source = LakeTable.load(spark, cfg.source_path)
     current = source.current_snapshot()
     if current is None:
         return {}
     if cfg.seed_mode == "scan":
-        seed(spark, cfg)
+        seed(spark, cfg, wait)
     tables = _tables(spark, cfg, source)
-    late = {k: v for k, v in tables.items() if _cursor(v[1]) < current}
+    manifests = {k: t.manifest() for k, (_, t) in tables.items()}
+    late = {k: v for k, v in tables.items() if _cursor(manifests[k]) < current}
     if not late:
         return {}
+    schema = source.schema
     values = {d.routing_value: d.id for d, _ in late.values()}
-    starts = spark.createDataFrame([(k, _cursor(t)) for k, (_, t) in late.items()], "destination_id string, last_snapshot_id bigint")
-    changes = source.changes(min(_cursor(t) for _, t in late.values()), current)
+    starts = spark.createDataFrame(pa.table({"destination_id": list(late), "last_snapshot_id": [_cursor(manifests[k]) for k in late]}))
+    changes = source.changes(min(_cursor(manifests[k]) for k in late), current)
     if not cfg.key_columns:
         changes = changes.filter(F.col("change_type") == cdc.INSERT)
     batch = window_for(changes, cfg.routing_field, values, starts)
     if cfg.key_columns:
         batch = resolve(batch, cfg.routing_field, cfg.key_columns, cfg.pairing)
-    batch = batch.persist()
+    batch = batch.drop("cursor").persist()
     try:
         counts = {r.destination_id: (r.n, r.d) for r in batch.groupBy("destination_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("change_type") == cdc.DELETE).alias("d")).collect()}
-        return {k: _one(cfg, k, t, batch, counts.get(k, (0, 0)), current, wait) for k, (_, t) in late.items()}
+        folders: dict[str, str] = {}
+        if counts:
+            out = cdc.strip_meta(batch)
+            if cfg.key_columns:
+                old = held_rows(spark, {k: late[k][1] for k in counts}, {k: manifests[k] for k in counts}, schema)
+                out = cdc.apply_changes(old, batch, cfg.key_columns, ("destination_id",))
+            folders = with_retry(lambda: _write(spark, cfg, out, schema), wait=wait)[0]
     finally:
         batch.unpersist()
 
-
-def _one(cfg: Config, key: str, table: LakeTable, batch: DataFrame, counts: tuple[int, int], current: int, wait: Callable[[float], None]) -> dict:
-    rows, deleted = counts
-    total = table.manifest()["cursor"].get("rows", 0) + rows
-    if not rows:
-        table.set_cursor({"snapshot": current, "error": None})
-        return {"rows": 0, "deleted": 0, "error": None}
-    own = batch.filter(F.col("destination_id") == key).drop("destination_id", "cursor")
-
-    def write() -> None:
-        done = {"snapshot": current, "rows": total, "error": None}
-        if cfg.key_columns:
-            table.replace(cdc.apply_changes(table.scan(), own, cfg.key_columns), done)
+    def commit(key: str, table: LakeTable) -> dict:
+        rows, deleted = counts.get(key, (0, 0))
+        done = {"snapshot": current, "rows": manifests[key]["cursor"].get("rows", 0) + rows, "error": None, "error_at": None, "replicated_at": _now()}
+        new = [folders[key]] if key in folders else []
+        if not rows:
+            table.set_cursor({"snapshot": current, "error": None, "error_at": None})
+        elif cfg.key_columns:
+            table.set_folders(new, done)
         else:
-            table.append(cdc.strip_meta(own), done)
+            table.set_folders([*table.folders(manifests[key]), *new], done)
+        return {"rows": rows, "deleted": deleted, "error": None}
 
-    try:
-        with_retry(write, wait=wait)
-    except Exception as e:
-        log.exception("destination %s failed", key)
-        table.set_cursor({"error": str(e)})
-        return {"rows": 0, "deleted": 0, "error": str(e)}
-    return {"rows": rows, "deleted": deleted, "error": None}
+    said = {}
+    for key, result in _each(late, commit, wait).items():
+        if isinstance(result, Exception):
+            late[key][1].set_cursor({"error": str(result), "error_at": _now(), "replicated_at": None})
+            result = {"rows": 0, "deleted": 0, "error": str(result)}
+        said[key] = result
+    return said
 
 
 def status(spark: SparkSession, cfg: Config) -> DataFrame:
-    """(destination_id, snapshot, lag, rows_replicated, status, last_error) from the manifests."""
+    """(destination_id, snapshot, lag, rows_replicated, status, last_error, last_replicated_at, last_error_at) from the manifests."""
     source = LakeTable.load(spark, cfg.source_path)
     held = [(k, t.manifest()["cursor"]) for k, (_, t) in _tables(spark, cfg, source).items()]
-    rows = [(k, c.get("snapshot", 0), c.get("rows", 0), c.get("error")) for k, c in held]
-    frame = spark.createDataFrame(rows, "destination_id string, last_snapshot_id bigint, rows_replicated bigint, last_error string")
-    return cursors.status(frame, source.current_snapshot() or 0)
+    rows = [(k, c.get("snapshot", 0), c.get("rows", 0), c.get("error"), c.get("replicated_at"), c.get("error_at")) for k, c in held]
+    frame = spark.createDataFrame(rows, "destination_id string, last_snapshot_id bigint, rows_replicated bigint, last_error string, last_replicated_at string, last_error_at string")
+    times = frame.select("destination_id", F.to_timestamp("last_replicated_at").alias("last_replicated_at"), F.to_timestamp("last_error_at").alias("last_error_at"))
+    return cursors.status(frame, source.current_snapshot() or 0).join(times, "destination_id")

@@ -18,8 +18,10 @@ _own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, spark.checkpoint.dir; one of this process where that is unset."""
+    """The folder that driver and executors share, spark.checkpoint.dir; on a local master only, one of this process where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not at and not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="spark-lake-"))
     return (at or _own[0]).rstrip("/")
@@ -35,6 +37,12 @@ def read_manifest(path: str) -> dict | None:
         return json.loads(f.read())
 
 
+def fs_has_data(path: str) -> bool:
+    """Whether a written folder holds a Parquet file."""
+    store, at = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    return any(f.path.endswith(".parquet") for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True, recursive=True)))
+
+
 @dataclass(frozen=True)
 class LakeTable:
     """Tables live in folders of a store that renames files; data files are read and written by Spark alone.
@@ -106,17 +114,33 @@ class LakeTable:
         m = self.manifest()
         if m["logs"]:
             return cdc.as_of(self.log(), snapshot if snapshot is not None else m["snapshot"]).select(*self.schema.names)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{m['base']}") if m["base"] else self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*self.folders(m)) if self.folders(m) else self.spark.createDataFrame([], self.schema)
 
-    def replace(self, rows: DataFrame, cursor: dict | None = None) -> None:
-        """A new base version, and the cursor with it."""
+    def folders(self, manifest: dict) -> list[str]:
+        """Folders of the data files that this manifest holds."""
+        return list(manifest["base"] or [])
+
+    def set_folders(self, folders: list[str], cursor: dict | None = None) -> None:
+        """A new version of these folders, written before, and the cursor with it. Tables with a change log are refused: scans read the log."""
         m = self.manifest()
-        base = f"base-{uuid.uuid4().hex}"
-        rows.select(*self.schema.names).write.parquet(f"{self.path}/{base}")
-        self._commit(m | {"base": base, "snapshot": (m["snapshot"] or 0) + 1, "cursor": m["cursor"] | (cursor or {})})
+        if m["logs"]:
+            raise ValueError(f"{self.path} has a change log: commit changes instead")
+        self._commit(m | {"base": folders, "snapshot": (m["snapshot"] or 0) + 1, "cursor": m["cursor"] | (cursor or {})})
+
+    def _written(self, rows: DataFrame) -> str:
+        if self.manifest()["logs"]:
+            raise ValueError(f"{self.path} has a change log: commit changes instead")
+        at = f"{self.path}/base-{uuid.uuid4().hex}"
+        rows.select(*self.schema.names).write.parquet(at)
+        return at
+
+    def replace(self, rows: DataFrame, cursor: dict | None = None) -> None:
+        """A new version with these rows alone, and the cursor with it."""
+        self.set_folders([self._written(rows)], cursor)
 
     def append(self, rows: DataFrame, cursor: dict | None = None) -> None:
-        self.replace(self.scan().unionByName(rows.select(*self.schema.names)), cursor)
+        """A new version with these rows added in files of their own; nothing is rewritten."""
+        self.set_folders([*self.folders(self.manifest()), self._written(rows)], cursor)
 
     def delete(self, predicate) -> None:
         self.replace(self.scan().filter(~F.coalesce(predicate, F.lit(False))))
@@ -132,11 +156,11 @@ class LakeTable:
         m = self.manifest()
         self._commit(m | {"cursor": m["cursor"] | cursor})
 
-    def files(self) -> DataFrame:
-        """One row: file count and bytes of what a scan reads."""
+    def files(self, snapshot: int | None = None) -> DataFrame:
+        """One row: file count and bytes of what a scan at this snapshot (the current one by default) reads."""
         m = self.manifest()
-        at = f"{self.path}/log" if m["logs"] else f"{self.path}/{m['base']}" if m["base"] else None
-        if at is None:
+        at = [f"{self.path}/log/snapshot_id={n}" for n in m["logs"] if snapshot is None or n <= snapshot] or self.folders(m)
+        if not at:
             return self.spark.createDataFrame([(0, 0)], "files bigint, bytes bigint")
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(at).select("path", "length")
         return listed.agg(F.count("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

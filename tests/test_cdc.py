@@ -96,14 +96,22 @@ def test_assignment(spark):
 
 
 def test_plan_has_no_nested_loop_and_one_exchange_for_both_phases(spark):
-    plan = QUERIES["conflict_resolve"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+    for name in ("conflict_resolve", "multi_cursor_single_scan"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_routing_map_needs_no_job(spark):
+    df = batch(spark, ("insert", 1, "a", 1))
+    tracker, group = spark.sparkContext.statusTracker(), "routing-map"
+    spark.sparkContext.setJobGroup(group, "")
+    routing.route(df, "value", {"1": "d"})
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
-    if "poll_cycle" in name:
-        pytest.skip("run by the driver at sf0.01")
     ours, theirs = same_rows(spark, QUERIES[name], ORACLES[name], SF)
     assert ours == theirs

@@ -42,16 +42,46 @@ def test_seed_then_changes(spark, tmp_path):
 def test_a_failed_destination_keeps_its_cursor(spark, tmp_path, monkeypatch):
     source, cfg = made(spark, tmp_path, seed_mode="cdc_replay")
     commit(spark, source, (1, "a", 10, "insert", 1), (3, "b", 30, "insert", 3))
-    whole = LakeTable.replace
-    monkeypatch.setattr(LakeTable, "replace", lambda self, *a: (_ for _ in ()).throw(OSError("full")) if self.path.endswith("da") else whole(self, *a))
+    whole = LakeTable.set_folders
+    monkeypatch.setattr(LakeTable, "set_folders", lambda self, *a: (_ for _ in ()).throw(OSError("full")) if self.path.endswith("da") else whole(self, *a))
     said = replicate.run_once(spark, cfg, wait=lambda s: None)
     assert said["da"]["error"] == "full" and said["db"]["error"] is None
     assert {r.destination_id: r.status for r in replicate.status(spark, cfg).collect()} == {"da": "error", "db": "healthy"}
-    monkeypatch.setattr(LakeTable, "replace", whole)
+    monkeypatch.setattr(LakeTable, "set_folders", whole)
     replicate.run_once(spark, cfg)
     assert held(spark, cfg) == {"da": [(1, "a", 10)], "db": [(3, "b", 30)]}
 
 
+def test_many_destinations_take_as_many_jobs_as_two(spark, tmp_path):
+    jobs = []
+    for n in (2, 60):
+        source, cfg = made(spark, tmp_path / str(n), seed_mode="cdc_replay")
+        raw = {"source": {"path": source.path}, "routing": {"field": "company", "key_columns": ["event_id"], "seed_mode": "cdc_replay"}, "destinations": [{"id": f"d{k}", "routing_value": f"c{k}", "path": f"{tmp_path}/{n}/d{k}"} for k in range(n)]}
+        cfg = config.parse(raw)
+        commit(spark, source, *((k, f"c{k % n}", k, "insert", k) for k in range(120)))
+        replicate.run_once(spark, cfg)
+        commit(spark, source, *((k, f"c{k % n}", k, "delete", k) for k in range(60)))
+        spark.sparkContext.setJobGroup(f"round-{n}", "")
+        said = replicate.run_once(spark, cfg)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"round-{n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sum(v["deleted"] for v in said.values()) == 60
+        assert sum(len(v) for v in held(spark, cfg).values()) == 60
+    assert jobs[1] <= jobs[0] + 4  # many folders are listed by jobs of their own
+
+
+def test_appended_rows_are_new_files_and_logged_tables_refuse_writes(spark, tmp_path):
+    source, cfg = made(spark, tmp_path, seed_mode="cdc_replay", key_columns=[])
+    commit(spark, source, (1, "a", 10, "insert", 1))
+    replicate.run_once(spark, cfg)
+    first = LakeTable.load(spark, f"{tmp_path}/da").manifest()["base"]
+    commit(spark, source, (2, "a", 20, "insert", 2), (1, "a", 10, "delete", 1))
+    replicate.run_once(spark, cfg)
+    assert LakeTable.load(spark, f"{tmp_path}/da").manifest()["base"][:1] == first and held(spark, cfg)["da"] == [(1, "a", 10), (2, "a", 20)]
+    with pytest.raises(ValueError, match="change log"):
+        source.append(spark.createDataFrame([(9, "a", 9)], SCHEMA))
+
+
 def test_random_histories_converge(spark, tmp_path):
     """Hardened replay from any cursor gives the source's rows, whatever the operations."""
     r = random.Random(4)
