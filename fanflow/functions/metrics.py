@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fanflow.operators import cdc
+
 #: Upper edges of the batch size histogram.
 BATCH_ROWS = (100, 500, 1_000, 5_000, 10_000, 50_000, 100_000, 500_000, 1_000_000, 5_000_000, 10_000_000)
 
+#: Ranges into which quantiles() cuts the values.
+BOUNDS = 256
+
 
 def histogram(df: DataFrame, value: str, edges: tuple[int, ...] = BATCH_ROWS) -> DataFrame:
     """(le, count): values up to each edge, cumulative; le is +Inf for all."""
@@ -17,7 +25,45 @@ def histogram(df: DataFrame, value: str, edges: tuple[int, ...] = BATCH_ROWS) ->
 
 
 def quantiles(df: DataFrame, value: str, qs: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
-    return df.agg(*(F.percentile(value, q).alias(f"p{round(q * 100)}") for q in qs))
+    """One row: exact quantiles, interpolated between neighbours; nulls don't count, and without values all are null.
+
+    Approximate bounds cut the values into BOUNDS ranges whose counts go to the driver; only the ranges that hold a wanted
+    rank are counted value by value, so no task holds all values.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    bounds = sorted(set(rows.approxQuantile("v", [k / BOUNDS for k in range(1, BOUNDS)], 1 / BOUNDS / 2)))
+    held = F.array(*map(F.lit, bounds)) if bounds else F.array(F.lit(0.0))
+    ranged = rows.withColumn("range", F.size(F.filter(held, lambda b: b <= F.col("v"))))
+    counts = {r.range: r.n for r in ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = {}, 0
+    for k in sorted(counts):
+        before[k] = total
+        total += counts[k]
+    ranks = {q: (math.floor(q * (total - 1)), math.ceil(q * (total - 1))) for q in qs} if total else {}
+    of = lambda rank: max(k for k in before if before[k] <= rank)
+    wanted = sorted({of(r) for pair in ranks.values() for r in pair})
+    each = ranged.filter(F.col("range").isin(wanted)).groupBy("range", "v").agg(F.count(F.lit(1)).alias("n"))
+    each = each.withColumn("to", F.sum("n").over(Window.partitionBy("range").orderBy("v")))
+    at = lambda rank: F.min(F.when((F.col("range") == of(rank)) & (F.col("to") > rank - before[of(rank)]), F.col("v")))
+    name = lambda q: f"p{round(q * 100)}"
+    if not ranks:
+        return each.agg(*(F.max(F.lit(None).cast("double")).alias(name(q)) for q in qs))
+    return each.agg(*((at(lo) + (at(hi) - at(lo)) * (q * (total - 1) - lo)).alias(name(q)) for q, (lo, hi) in ranks.items()))
+
+
+def histogram_quantile(buckets: DataFrame, q: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, quantile) from cumulative buckets (by, le: text, count): linear within the bucket that holds the rank.
+
+    The first bucket starts at 0; a rank beyond the last finite edge gives that edge; no observations give null.
+    """
+    edge = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").cast("double"))
+    order = Window.partitionBy(*by).orderBy("edge") if by else Window.partitionBy(F.lit(0)).orderBy("edge")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = buckets.withColumn("edge", edge).withColumn("low", F.coalesce(F.lag("edge").over(order), F.lit(0.0)))
+    rows = rows.withColumn("under", F.coalesce(F.lag("count").over(order), F.lit(0))).withColumn("rank", q * F.last("count").over(whole))
+    inside = (F.col("count") >= F.col("rank")) & (F.col("count") > F.col("under"))
+    value = F.when(F.col("edge") == float("inf"), F.col("low")).otherwise(F.col("low") + (F.col("edge") - F.col("low")) * (F.col("rank") - F.col("under")) / (F.col("count") - F.col("under")))
+    return rows.groupBy(*by).agg(F.min_by(F.when(inside, value), F.when(inside, F.col("edge"))).alias("quantile"))
 
 
 def rates(samples: DataFrame, label: str, at: str, value: str) -> DataFrame:
@@ -25,3 +71,32 @@ def rates(samples: DataFrame, label: str, at: str, value: str) -> DataFrame:
     before = Window.partitionBy(label).orderBy(at)
     grown, seconds = F.col(value) - F.lag(value).over(before), F.col(at) - F.lag(at).over(before)
     return samples.select(label, at, (F.when(grown < 0, F.col(value)).otherwise(grown) / seconds).alias("rate")).filter("rate is not null")
+
+
+def rate_by(samples: DataFrame, series: list[str], by: str, at: str, value: str) -> DataFrame:
+    """(by, at, rate): the rates of all series (told apart by their labels) summed by one label."""
+    labelled = samples.withColumn("_series", F.to_json(F.struct(*series)))
+    label = labelled.select("_series", by).distinct()
+    return rates(labelled, "_series", at, value).join(label, "_series").groupBy(by, at).agg(F.sum("rate").alias("rate"))
+
+
+def round_metrics(changes: DataFrame, routed: DataFrame, resolved: DataFrame, table: DataFrame, routing: str, keys: tuple[str, ...], pipeline: str) -> DataFrame:
+    """(pipeline, metric, destination_id, value) of one round.
+
+    changes has destination_id, null for rows without a route; routed is window_for()'s; resolved are the rows after phases 1
+    and 2; table is what the destinations held before. Metrics of a destination have its id, others null.
+    """
+    read = changes.agg(F.count(F.lit(1)).alias("cdc_rows_read_total"), F.count_if(F.col("destination_id").isNull()).alias("unrouted_rows_total"))
+    first = cdc.resolve_preimages(routed, routing, keys, ("cursor",))
+    pre = cdc.preimage_counts(routed, routing, ("cursor",)).select(F.col("mutations").alias("cdc_routing_mutations_total"), F.col("orphans").alias("cdc_orphaned_preimages_total"))
+    conflicts = cdc.conflict_counts(first, ("destination_id",)).select(F.col("conflicts").alias("cdc_conflicts_resolved_total"))
+    sent = cdc.apply_counts(table, resolved, keys, ("destination_id",))
+    sent = sent.select("destination_id", (F.col("deleted") + F.col("upserted")).alias("dest_rows_written_total"), F.col("deleted").alias("dest_rows_deleted_total"), F.col("upserted").alias("dest_rows_upserted_total"), F.col("upsert_matched").alias("dest_upsert_matched_total"))
+
+    def long(df: DataFrame) -> DataFrame:
+        who = F.col("destination_id") if "destination_id" in df.columns else F.lit(None).cast("string")
+        names = [c for c in df.columns if c != "destination_id"]
+        return df.select(who.alias("destination_id"), F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in names))))
+
+    parts = [long(d) for d in (read, pre, conflicts, sent)]
+    return reduce(DataFrame.unionByName, parts).select(F.lit(pipeline).alias("pipeline"), "metric", "destination_id", "value")

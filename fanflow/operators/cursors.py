@@ -64,6 +64,13 @@ def status(cursors: DataFrame, current: int) -> DataFrame:
     return cursors.select("destination_id", F.col("last_snapshot_id").alias("snapshot"), lag.alias("lag"), "rows_replicated", said.alias("status"), "last_error")
 
 
+def status_document(states: DataFrame, source_table: str, snapshot: int | None, mode: str, poll_interval: int) -> DataFrame:
+    """One row (document): the source's and all destinations' status() as JSON, destinations by id, nulls written."""
+    rows = F.array_sort(F.collect_list(F.struct("destination_id", *(c for c in states.columns if c != "destination_id"))))
+    whole = F.struct(F.lit(source_table).alias("source_table"), F.lit(snapshot).alias("source_snapshot"), F.lit(mode).alias("mode"), F.lit(poll_interval).alias("poll_interval"), F.col("destinations"))
+    return states.agg(rows.alias("destinations")).select(F.to_json(whole, {"ignoreNullFields": "false"}).alias("document"))
+
+
 def max_lag(cursors: DataFrame, current: int) -> DataFrame:
     return cursors.agg(F.max(F.lit(current) - F.coalesce("last_snapshot_id", F.lit(0))).alias("max_lag"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ def script() -> list[tuple[int, int, str, int, int, int]]:
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, company (routing), val, change_type, snapshot_id, rowid."""
-    steps = spark.createDataFrame(script(), "cls int, snapshot_id bigint, change_type string, shift int, added int, moved bigint")
+    kinds = [("cls", pa.int32()), ("snapshot_id", pa.int64()), ("change_type", pa.string()), ("shift", pa.int32()), ("added", pa.int32()), ("moved", pa.int64())]
+    steps = spark.createDataFrame(pa.table({name: pa.array(values, kind) for (name, kind), values in zip(kinds, zip(*script(), strict=True), strict=True)}))
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", "value")
     both = events.join(F.broadcast(steps), F.col("event_id") % 20 == F.col("cls"))
     kinds = F.array(*map(F.lit, KINDS))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,10 +125,11 @@ def filter_routing_values(spark, sf_dir):
     return _out(log.filter(routing.value_filter(log, "company", ["view", "signup"])))
 
 
-@_query(_with() + f"SELECT {_ALL} FROM log WHERE 1 = 0")
+@_query(_with() + "SELECT snapshot_id, false AS kept, count(*) AS rows FROM log GROUP BY ALL")
 def filter_routing_empty(spark, sf_dir):
+    """Without routing values no row is kept: all rows of every snapshot, by what the filter says."""
     log = change_log(spark, sf_dir)
-    return _out(log.filter(routing.value_filter(log, "company", [])))
+    return log.groupBy("snapshot_id", routing.value_filter(log, "company", []).alias("kept")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @_query(_with(*_phases()) + "SELECT destination_id, count(*) FILTER (change_type = 'delete') AS deletes, count(*) FILTER (change_type IN ('insert', 'update_postimage')) AS upserts FROM p2 GROUP BY ALL")
@@ -323,7 +325,7 @@ _STARTS = {"d_click": 0, "d_view": 4, "d_purchase": 4, "d_signup": 6}
     *_phases()[3:],
 ) + f"SELECT {_ALL}, destination_id FROM p2")
 def multi_cursor_single_scan(spark, sf_dir):
-    starts = spark.createDataFrame(list(_STARTS.items()), "destination_id string, last_snapshot_id bigint")
+    starts = spark.createDataFrame(pa.table({"destination_id": list(_STARTS), "last_snapshot_id": list(_STARTS.values())}))
     log = cdc.in_range(change_log(spark, sf_dir), min(_STARTS.values()), END)
     return _out(replicate.resolve(replicate.window_for(log, "company", DESTINATIONS, starts), "company", _KEYS).drop("cursor"))
 
@@ -400,6 +402,42 @@ def rate_by_destination(spark, sf_dir):
     return metrics.rates(_batches(spark, sf_dir), "company", "snapshot_id", "n")
 
 
+@_query(_with(_BATCHES) + ", e AS (SELECT unnest([" + ", ".join(map(str, metrics.BATCH_ROWS)) + "])::DOUBLE AS le UNION ALL SELECT 'inf'::DOUBLE), h AS (SELECT company, le, count(*) FILTER (n <= le) AS c FROM b, e GROUP BY ALL),\nw AS (SELECT *, coalesce(lag(le) OVER o, 0) AS low, coalesce(lag(c) OVER o, 0) AS under, 0.95 * max(c) OVER (PARTITION BY company) AS rank FROM h WINDOW o AS (PARTITION BY company ORDER BY le))\nSELECT company, arg_min(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * (rank - under) / (c - under) END, le) AS quantile FROM w WHERE c >= rank AND c > under GROUP BY company")
+def batch_rows_quantile_from_buckets(spark, sf_dir):
+    each = [metrics.histogram(_batches(spark, sf_dir).filter(F.col("company") == k), "n").withColumn("company", F.lit(k)) for k in KINDS]
+    buckets = each[0]
+    for more in each[1:]:
+        buckets = buckets.unionByName(more)
+    return metrics.histogram_quantile(buckets, 0.95, ("company",))
+
+
+@_query(_with() + ", s AS (SELECT change_type, company, snapshot_id, count(*) AS n FROM log WHERE company IS NOT NULL GROUP BY ALL),\nr AS (SELECT company, snapshot_id, (CASE WHEN n < lag(n) OVER w THEN n ELSE n - lag(n) OVER w END)::DOUBLE / (snapshot_id - lag(snapshot_id) OVER w) AS rate FROM s WINDOW w AS (PARTITION BY change_type, company ORDER BY snapshot_id))\nSELECT company, snapshot_id, sum(rate) AS rate FROM r WHERE rate IS NOT NULL GROUP BY ALL")
+def rate_summed_by_label(spark, sf_dir):
+    counts = change_log(spark, sf_dir).filter("company IS NOT NULL").groupBy("change_type", "company", "snapshot_id").agg(F.count(F.lit(1)).alias("n"))
+    return metrics.rate_by(counts, ["change_type", "company"], "company", "snapshot_id", "n")
+
+
+@_query(_with(*_apply(4)) + """, kept AS (SELECT * FROM prev WHERE NOT EXISTS (FROM p2 WHERE p2.change_type = 'delete' AND p2.destination_id = prev.destination_id AND p2.event_id = prev.event_id)),
+m AS (SELECT destination_id, count(*) AS matched FROM ups JOIN kept USING (destination_id, event_id) GROUP BY ALL),
+d AS (SELECT destination_id, count(*) FILTER (change_type = 'delete') AS del, count(*) FILTER (change_type <> 'delete') AS up FROM p2 GROUP BY ALL),
+pre AS (SELECT count(*) FILTER (p.rid IS NULL) AS orphans, count(*) FILTER (p.last <> w.company) AS mutations FROM win w LEFT JOIN posts p USING (rid) WHERE change_type = 'update_preimage')
+SELECT 'events-me' AS pipeline, metric, destination_id, value::BIGINT AS value FROM (
+SELECT 'cdc_rows_read_total' AS metric, NULL::VARCHAR AS destination_id, (SELECT count(*) FROM log WHERE snapshot_id > 4) AS value
+UNION ALL SELECT 'unrouted_rows_total', NULL, (SELECT count(*) FROM log WHERE snapshot_id > 4 AND (company IS NULL OR company NOT IN """ + _IN + """))
+UNION ALL SELECT 'cdc_routing_mutations_total', NULL, mutations FROM pre UNION ALL SELECT 'cdc_orphaned_preimages_total', NULL, orphans FROM pre
+UNION ALL SELECT 'cdc_conflicts_resolved_total', NULL, count(*) FILTER (i AND (d OR p)) FROM fl
+UNION ALL SELECT 'dest_rows_written_total', destination_id, del + up FROM d UNION ALL SELECT 'dest_rows_deleted_total', destination_id, del FROM d
+UNION ALL SELECT 'dest_rows_upserted_total', destination_id, up FROM d UNION ALL SELECT 'dest_upsert_matched_total', destination_id, coalesce(matched, 0) FROM d LEFT JOIN m USING (destination_id))""")
+def round_metrics(spark, sf_dir):
+    changes = routing.route(cdc.in_range(change_log(spark, sf_dir), 4, END), "company", DESTINATIONS, True)
+    return metrics.round_metrics(changes, _routed(spark, sf_dir, 4), _resolved(spark, sf_dir, 4), _at(spark, sf_dir, 4), "company", _KEYS, "events-me")
+
+
+@_query(_CURSOR_SQL + "SELECT to_json(struct_pack(source_table := 'events', source_snapshot := 9, mode := 'cdc', poll_interval := 5, destinations := list(struct_pack(destination_id := destination_id, snapshot := last_snapshot_id, lag := 9 - last_snapshot_id, rows_replicated := rows_replicated, status := CASE WHEN last_error IS NOT NULL THEN 'error' WHEN last_snapshot_id < 9 THEN 'lagging' ELSE 'healthy' END, last_error := last_error) ORDER BY destination_id)))::VARCHAR AS document FROM c")
+def status_json(spark, sf_dir):
+    return cursors.status_document(cursors.status(_cursors(spark, sf_dir), END), "events", END, "cdc", 5)
+
+
 def _lake(spark: SparkSession, sf_dir: str, last: int = END) -> tuple[Config, LakeTable]:
     """The change log committed snapshot by snapshot as a versioned table, with destinations beside it."""
     root = f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"

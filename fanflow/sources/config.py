@@ -62,14 +62,19 @@ def _env(section: dict, name: str) -> object:
     return section.get(name)
 
 
+def _properties(section: object, where: str) -> dict[str, str]:
+    """A mapping of text to text; `x_env: NAME` becomes x with the value of environment variable NAME."""
+    if not isinstance(section, dict) or not all(isinstance(k, str) and isinstance(v, str) for k, v in section.items()):
+        raise ConfigError(f"{where} must map strings to strings")
+    return {k.removesuffix("_env"): _env(section, k.removesuffix("_env")) for k in section}
+
+
 def parse(raw: dict) -> Config:
     source, routing, instance = raw.get("source") or {}, raw.get("routing") or {}, raw.get("instance") or {}
-    part, defaults = instance.get("partition") or {}, (raw.get("defaults") or {}).get("properties") or {}
+    part, defaults = instance.get("partition") or {}, _properties((raw.get("defaults") or {}).get("properties") or {}, "defaults.properties")
     made = []
     for n, d in enumerate(raw.get("destinations") or []):
-        properties = defaults | (d.get("properties") or {})
-        if not all(isinstance(k, str) and isinstance(v, str) for k, v in properties.items()):
-            raise ConfigError(f"destinations[{n}].properties must map strings to strings")
+        properties = defaults | _properties(d.get("properties") or {}, f"destinations[{n}].properties")
         made.append(Destination(_text(d.get("id"), "destination id"), _text(d.get("routing_value"), "routing_value"), _text(_env(d, "path"), "destination path"), properties))
     if not made:
         raise ConfigError("there are no destinations")

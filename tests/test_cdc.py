@@ -2,6 +2,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
+from fanflow.functions import metrics
 from fanflow.operators import cdc, cursors, routing
 from fanflow.plans.queries import ORACLES, QUERIES
 
@@ -86,6 +87,16 @@ def test_errors(spark):
     assert routing.route(odd, "user@domain", {"a": "d"}).first().destination_id == "d"
 
 
+def test_quantiles(spark):
+    df = spark.createDataFrame([(float(v),) for v in (5, 1, 4, 1, 3)] + [(None,)], "v double")
+    assert tuple(metrics.quantiles(df, "v", (0.0, 0.5, 0.9, 1.0)).first()) == (1.0, 3.0, pytest.approx(4.6), 5.0)
+    assert tuple(metrics.quantiles(df.filter("v > 9"), "v").first()) == (None, None, None)
+    buckets = metrics.histogram(df, "v", (2, 4))
+    assert metrics.histogram_quantile(buckets, 0.5).first().quantile == 2.5
+    assert metrics.histogram_quantile(buckets, 0.95).first().quantile == 4.0
+    assert metrics.histogram_quantile(metrics.histogram(df.limit(0), "v", (2, 4)), 0.5).first().quantile is None
+
+
 def test_assignment(spark):
     ids = [f"d{n}" for n in range(50)]
     parts = [cursors.assigned(ids, "hash", total=3, ordinal=k) for k in range(3)]

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -125,6 +126,9 @@ def test_table_operations(spark, tmp_path):
 def test_config_errors():
     good = {"source": {"path": "s"}, "routing": {"field": "f"}, "destinations": [{"id": "a", "routing_value": 1, "path": "p"}]}
     assert config.parse(good).destinations[0].routing_value == "1"
-    for bad in ({"destinations": []}, {"destinations": good["destinations"] * 2}, {"poll": {"interval_seconds": True}}, {"source": {}}, {"source": {"path_env": "NO_SUCH_VARIABLE"}}, {"instance": {"partition": {"mode": "some"}}}):
+    os.environ["FANFLOW_TEST_KEY"] = "secret"
+    props = {"defaults": {"properties": {"key_env": "FANFLOW_TEST_KEY", "a": "1"}}, "destinations": [{"id": "a", "routing_value": 1, "path": "p", "properties": {"a": "2"}}]}
+    assert config.parse(good | props).destinations[0].properties == {"key": "secret", "a": "2"}
+    for bad in ({"defaults": {"properties": {"k_env": "NO_SUCH_VARIABLE"}}}, {"defaults": {"properties": {"k": 5}}}, {"defaults": {"properties": ["k"]}}, {"destinations": []}, {"destinations": good["destinations"] * 2}, {"poll": {"interval_seconds": True}}, {"source": {}}, {"source": {"path_env": "NO_SUCH_VARIABLE"}}, {"instance": {"partition": {"mode": "some"}}}):
         with pytest.raises(config.ConfigError):
             config.parse(good | bad)
