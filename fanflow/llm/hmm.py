@@ -184,7 +184,8 @@ class Model:
 def _expected(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Expected counts (start, transitions, emissions, flat) of windows of the sequences, by scaled forward and backward recursion.
 
-    A window that continues a text starts from the states' long-run shares and doesn't count as a start.
+    Training reads texts in windows of WINDOW words. A window that continues a text starts from the states' long-run
+    shares and doesn't count as a start, so the counts of its first words are approximate; scoring reads whole texts.
     """
     cut = [(s[a : a + WINDOW], a == 0) for s in sequences for a in range(0, len(s), WINDOW)]
     cut.sort(key=lambda x: -len(x[0]))
@@ -196,28 +197,28 @@ def _expected(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
         codes[: len(s), k] = s
     fresh = np.array([x[1] for x in cut])
     stay = np.linalg.matrix_power(model.move, 64)[0]
-    by_class = np.ascontiguousarray(model.emit.T)
-    alpha = np.zeros((steps, len(cut), STATES))
-    scale = np.ones((steps, len(cut)))
-    a = np.where(fresh[:, None], model.start, stay)
+    alpha, seen = np.zeros((steps, STATES, len(cut))), np.empty((steps, STATES, len(cut)))  # states by windows: the fast way round for small matrices
+    per, forth = np.ones((steps, len(cut))), np.ascontiguousarray(model.move.T)
     for t in range(steps):
         m = live[t]
-        a = (a[:m] if t == 0 else a[:m] @ model.move) * by_class[codes[t, :m]]
-        scale[t, :m] = a.sum(1)
-        a = a / scale[t, :m, None]
-        alpha[t, :m] = a
-    move, emit = np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
-    beta = np.ones((len(cut), STATES))
+        seen[t, :, :m] = model.emit.take(codes[t, :m], 1)
+        a = np.where(fresh, model.start[:, None], stay[:, None])[:, :m] if t == 0 else forth @ alpha[t - 1, :, :m]
+        a *= seen[t, :, :m]
+        np.divide(1, a.sum(0), out=per[t, :m])
+        np.multiply(a, per[t, :m], out=alpha[t, :, :m])
+    move, beta = np.zeros((STATES, STATES)), np.ones((STATES, len(cut)))
     for t in range(steps - 1, -1, -1):
         m = live[t]
-        gamma = alpha[t, :m] * beta[:m]
-        for k in range(STATES):
-            emit[k] += np.bincount(codes[t, :m], gamma[:, k], CLASSES)
         if t:
-            seen = by_class[codes[t, :m]] * beta[:m] / scale[t, :m, None]
-            move += alpha[t - 1, :m].T @ seen
-            beta[:m] = seen @ model.move.T
-    start = (alpha[0] * beta)[fresh].sum(0)
+            back = seen[t, :, :m] * beta[:, :m]
+            back *= per[t, :m]
+            move += alpha[t - 1, :, :m] @ back.T
+        alpha[t, :, :m] *= beta[:, :m]  # now the chance of each state
+        if t:
+            beta[:, :m] = model.move @ back
+    flat = codes.ravel()
+    emit = np.stack([np.bincount(flat, alpha[:, k].ravel(), CLASSES) for k in range(STATES)])
+    start = alpha[0][:, fresh].sum(1)
     return np.concatenate([start, (move * model.move).ravel(), emit.ravel()])
 
 
@@ -274,14 +275,13 @@ def _likelihood(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
     lengths = np.array([len(sequences[k]) for k in order])
     flat, first = np.concatenate([sequences[k] for k in order]), np.cumsum(lengths) - lengths
-    by_class = np.ascontiguousarray(model.emit.T)
-    out, a = np.zeros(len(order)), np.tile(model.start, (len(order), 1))
+    out, a, forth = np.zeros(len(order)), np.repeat(model.start[:, None], len(order), 1), np.ascontiguousarray(model.move.T)
     live = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")
     for t in range(int(lengths[0])):
         m = live[t]
-        a = (a[:m] if t == 0 else a[:m] @ model.move) * by_class[flat[first[:m] + t]]
-        s = a.sum(1)
-        a /= s[:, None]
+        a = (a[:, :m] if t == 0 else forth @ a[:, :m]) * model.emit.take(flat[first[:m] + t], 1)
+        s = a.sum(0)
+        a /= s
         out[:m] += np.log10(s)
     back = np.empty(len(order))
     back[order] = out
