@@ -146,6 +146,58 @@ def test_near_duplicate_stage_odd_rows(spark, monkeypatch, sent):
     assert corpus_pipeline.keep_one_of_near_duplicates(spark, none(spark), SF).count() == 0
 
 
+def test_words_are_told_apart_by_more_than_a_polynomial(spark):
+    """Thue-Morse words and their complements collide under polynomials modulo 2^64."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word, True), (2, f"{other} {word}", False)], "doc_id long, text string, learn boolean")
+    assert {r.doc_id: r.n_known for r in hmm.score(docs, "learn").collect()} == {1: 2, 2: 2}
+    items = spark.createDataFrame([(7, other)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.contained(docs, items).collect()] == [(2, 7)]
+    texts = [x + y for x, y in ((word[:1024], "x" * 50), (other[:1024], "y" * 50), (word[:1024], "z" * 50))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in suffixes.without_repeats(df).collect()}
+    assert [found[k] for k in range(3)] == brute_repeats([t.encode() for t in texts], 400)
+
+
+def test_many_rows_without_an_id_stay_apart(spark):
+    """Rows of one id are told apart by 64 bits of their text."""
+    n = 100_000
+    df = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.sha2(F.col("id").cast("string").cast("binary"), 256), F.when(F.col("id") % 1000 == 0, F.repeat(F.lit("shared passage "), 40)).otherwise("")).alias("text"))
+    found = suffixes.without_repeats(df).withColumn("left", F.length("kept")).groupBy("n_bytes", "n_spans").agg(F.count(F.lit(1)).alias("n"), F.min("left").alias("least"), F.max("left").alias("most")).collect()
+    by = {r.n_bytes: r for r in found}  # some of the digests before the passage end alike, in a byte or a few
+    assert len(found) == 2 and (by[64].n, by[64].n_spans, by[64].least) == (n - 100, 0, 64)
+    assert (by[664].n, by[664].n_spans) == (100, 1) and 60 <= by[664].least <= by[664].most <= 64
+
+
+def test_stages_with_odd_rows(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 200").first().text
+    passage = " ".join(f"word{k}" for k in range(80))
+    more = [(4, f"before {item} after", "en", "s"), (20, f"one {passage}", "en", "s"), (21, f"two {passage} end", "en", "t"), (None, item, "en", "s")]
+    extra = lambda df: df.withColumns({c: F.lit("x") for c in ("id", "mark", "hash", "rest", "kept", "key", "range", "label", "score", "component", "train")})
+    docs = extra(spark.createDataFrame([*ODD, *more], SCHEMA))
+    plain = lambda df: sorted((tuple(r) for r in df.select("doc_id", "text").collect()), key=str)
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.cut_repeats, corpus_pipeline.drop_contaminated, corpus_pipeline.mix_sources):
+        assert stage(spark, extra(none(spark)), SF).count() == 0
+    said = corpus_pipeline.identify_language(spark, docs, SF)
+    assert said.columns == docs.columns and plain(said) == sorted(((i, t) for i, t, *_ in [*ODD, *more] if i not in (1, 2, 3)), key=str)
+    clean = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert clean.columns == docs.columns and plain(clean) == sorted(((i, t) for i, t, *_ in [*ODD, *more[1:3]]), key=str)
+    cut = corpus_pipeline.cut_repeats(spark, clean, SF)
+    assert cut.columns == docs.columns
+    left = dict(plain(cut.filter("doc_id in (1, 20, 21)")))
+    assert left[1] in (None, "") and len(left[20]) < 5 and len(left[21]) < 9
+    mixed = corpus_pipeline.mix_sources(spark, clean, SF).collect()
+    assert all(0 < r.taken <= 3 * r.size and r.repeats == r.taken // r.size for r in mixed) and sum(r.doc_id == 4 for r in mixed) <= 2
+    plan = mixing.mix(clean).collect()
+    assert abs(sum(r.taken for r in plan) - sum(r.taken for r in mixed)) <= max(r["size"] for r in plan)
+    same = spark.createDataFrame([(5, "a b c", "en", "s")] * 40 + [(6, "d e", "en", "t")], SCHEMA)
+    mixed = corpus_pipeline.mix_sources(spark, same, SF).collect()
+    assert sum(r.doc_id == 5 for r in mixed) <= 40
+
+
 def brute_repeats(docs, length):
     seen = Counter(t[i : i + length] for t in docs for i in range(len(t) - length + 1))
     out = []
@@ -205,6 +257,54 @@ def test_language(spark):
     assert language.fit(none(spark)) == {} and language.identify(odd(spark), {}).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_matches_brute_force(spark):
+    table, at = language._symbol_table(), language._letters(1024).astype(np.int64)
+
+    def profile(text):
+        s = [0]
+        for c in text or "":
+            if (x := int(table[ord(c)])) or s[-1]:
+                s.append(x)
+        s += [0] if s[-1] else []
+        grams = list(zip(s, s[1:], s[2:], strict=False))
+        return sum((at[0][a] * at[1][b] * at[2][c] for a, b, c in grams), np.zeros(1024)), len(grams)
+
+    rows = [r for r in documents(spark).collect() if len(r.text) < 1500]
+    more = [(-1, "", None), (-2, None, None), (-3, "12 --", None), (-4, "éé ß日 本", "xx"), (-5, "a", "xx")]
+    texts = {r.doc_id: (r.text, r.lang) for r in rows} | {k: (t, lang) for k, t, lang in more}
+    sums = {}
+    for text, lang in texts.values():
+        v, n = profile(text)
+        if lang and n:
+            sums[lang] = sums.get(lang, 0) + v / n
+    names = sorted(sums)
+    unit = np.array([sums[k] / np.linalg.norm(sums[k]) for k in names])
+    df = spark.createDataFrame([(k, t, lang) for k, (t, lang) in texts.items()], "doc_id long, text string, lang string")
+    for r in language.identify(df, language.fit(df)).collect():
+        v, n = profile(texts[r.doc_id][0])
+        cosine = unit @ v / (np.linalg.norm(v) or 1)
+        if not any(c.isalpha() for c in texts[r.doc_id][0] or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.score == pytest.approx(max(0.0, cosine.max()), abs=1e-3) and cosine[names.index(r.lang_pred)] == pytest.approx(cosine.max(), abs=1e-3)
+
+
+def test_attention_matches_brute_force():
+    r = np.random.default_rng(5)
+    model, passages = quality.Attention(), np.array([1, 3, 2])
+    x = r.normal(size=(6, quality.FEATURES))
+    model.p = {k: r.normal(size=v.shape) * 0.3 for k, v in model.p.items()}
+    said, at = model.forward(x, passages)["score"], 0
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    for n, score in zip(passages, said, strict=True):
+        h = [[math.tanh(sum(max(-8, min(8, v)) * w for v, w in zip(row, col, strict=True)) + b) for col, b in zip(model.p["W"].T, model.p["b"], strict=True)] for row in x[at : at + n]]
+        gated = [sum(w * math.tanh(float(np.dot(v, model.p["V"][:, k]))) * sigmoid(float(np.dot(v, model.p["U"][:, k]))) for k, w in enumerate(model.p["w"])) for v in h]
+        weight = [math.exp(e) / sum(map(math.exp, gated)) for e in gated]
+        whole = [sum(a * v[k] for a, v in zip(weight, h, strict=True)) for k in range(len(h[0]))]
+        assert score == pytest.approx(sigmoid(sum(c * v for c, v in zip(model.p["c"], whole, strict=True)) + model.p["d"][0]), rel=1e-9)
+        at += n
+
+
 def test_language_stage_keeps_short_texts(spark):
     docs = documents(spark)
     short = ["Avec.", "A.", "Ok.", "Re.", "For " * 200, "123", "".join(map(chr, range(0x4E00, 0x4F00))), None]
