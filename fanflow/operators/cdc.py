@@ -64,7 +64,7 @@ def as_of(log: DataFrame, snapshot: int) -> DataFrame:
 
 def _paired(batch: DataFrame, routing: str, group: Sequence[str]) -> DataFrame:
     """With _post: struct of the routing value and snapshot of the rowid's last postimage, null without one."""
-    per_row = Window.partitionBy(*group, "rowid")
+    per_row = Window.partitionBy("rowid", *group)
     post = F.when(F.col("change_type") == POST, F.struct(F.col("snapshot_id").alias("at"), col(routing).alias("to")))
     return batch.withColumn("_post", F.max_by(post, F.when(F.col("change_type") == POST, F.col("snapshot_id"))).over(per_row))
 
@@ -96,10 +96,8 @@ def preimage_counts(batch: DataFrame, routing: str, group: Sequence[str] = (), h
 
 
 def _flags(batch: DataFrame, by: Sequence[str]) -> DataFrame:
-    per_row = Window.partitionBy(*by, "rowid")
-    for name, kind in (("_i", INSERT), ("_d", DELETE), ("_p", POST)):
-        batch = batch.withColumn(name, F.max(F.col("change_type") == kind).over(per_row))
-    return batch
+    per_row = Window.partitionBy("rowid", *by)
+    return batch.select("*", *(F.max(F.col("change_type") == kind).over(per_row).alias(name) for name, kind in (("_i", INSERT), ("_d", DELETE), ("_p", POST))))
 
 
 def resolve_conflicts(batch: DataFrame, by: Sequence[str] = ()) -> DataFrame:

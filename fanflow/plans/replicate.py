@@ -34,9 +34,13 @@ def window_for(changes: DataFrame, field: str, values: dict[str, str], starts: D
 
 
 def resolve(changes: DataFrame, field: str, keys: tuple[str, ...], pairing: str = "compatible") -> DataFrame:
-    """Phases 1 and 2 of what window_for() gives: one exchange by rowid, which both windows can use, whatever else they cluster by."""
-    first = cdc.resolve_preimages(changes.repartition("rowid"), field, keys, ("cursor",), pairing == "hardened")
-    return cdc.resolve_conflicts(first, ("destination_id",))
+    """Phases 1 and 2 of what window_for() gives: one exchange by rowid and one sort, which both windows use.
+
+    A destination has one cursor, so phase 2 may cluster by both, in the order that phase 1 begins.
+    """
+    dealt = changes.repartition("rowid").sortWithinPartitions("rowid", "cursor", "destination_id")
+    first = cdc.resolve_preimages(dealt, field, keys, ("cursor",), pairing == "hardened")
+    return cdc.resolve_conflicts(first, ("cursor", "destination_id"))
 
 
 def with_retry(operation: Callable[[], object], attempts: int = 3, wait: Callable[[float], None] = time.sleep) -> object:
