@@ -51,6 +51,13 @@ def advance(state: DataFrame, instance: str, destinations: Sequence[str], snapsh
     return state.withColumns({k: F.when(here, v).otherwise(F.col(k)) for k, v in new.items()})
 
 
+def add_rows(state: DataFrame, instance: str, done: DataFrame) -> DataFrame:
+    """state with the operations of a round (destination_id, rows: one row for each destination) added to this instance's cumulative counts."""
+    ops = done.select("destination_id", F.col("rows").alias("_ops"))
+    more = F.when(F.col("instance_id") == instance, F.coalesce("_ops", F.lit(0))).otherwise(0)
+    return state.join(ops, "destination_id", "left").withColumn("rows_replicated", F.coalesce("rows_replicated", F.lit(0)) + more).select(*state.columns)
+
+
 def record_error(state: DataFrame, instance: str, destination: str, message: str, now: Column) -> DataFrame:
     """Cursor and count stay, the error and its time are set, the replication time is cleared; no row, no effect."""
     here = _mine(instance, [destination])

@@ -132,6 +132,27 @@ def filter_routing_empty(spark, sf_dir):
     return log.groupBy("snapshot_id", routing.value_filter(log, "company", []).alias("kept")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@_query(_with() + f"SELECT {_ALL} FROM log WHERE company = 'view' OR company IS NULL")
+def delete_predicate_single(spark, sf_dir):
+    """The predicate form of a delete filter over one column: IN and IS NULL."""
+    return _out(change_log(spark, sf_dir).filter(cdc.delete_predicate([{"company": "view"}, {"company": None}], ("company",))))
+
+
+@_query(_with() + f"SELECT {_ALL} FROM log WHERE (company = 'click' AND snapshot_id = 5) OR (company IS NULL AND snapshot_id = 3)")
+def delete_predicate_composite(spark, sf_dir):
+    keys = [{"company": "click", "snapshot_id": 5}, {"company": None, "snapshot_id": 3}]
+    return _out(change_log(spark, sf_dir).filter(cdc.delete_predicate(keys, ("company", "snapshot_id"))))
+
+
+@_query(_with(*_phases()) + f"SELECT {_ALL.replace('company', 'company AS user_domain')}, destination_id FROM p2")
+def route_special_column(spark, sf_dir):
+    """Routing, keys and both phases by a column whose name has signs that SQL would read."""
+    odd = "user@domain.`x`"
+    routed = routing.route(change_log(spark, sf_dir).withColumnRenamed("company", odd), odd, DESTINATIONS).withColumn("cursor", F.lit(0))
+    done = replicate.resolve(routed, odd, _KEYS).drop("cursor")
+    return _out(done.select(*(cdc.col(c).alias("user_domain" if c == odd else c) for c in done.columns)))
+
+
 @_query(_with(*_phases()) + "SELECT destination_id, count(*) FILTER (change_type = 'delete') AS deletes, count(*) FILTER (change_type IN ('insert', 'update_postimage')) AS upserts FROM p2 GROUP BY ALL")
 def change_type_split(spark, sf_dir):
     batch = _resolved(spark, sf_dir)
@@ -235,6 +256,12 @@ def apply_from_cursor_6_hardened(spark, sf_dir):
     return _applied(spark, sf_dir, 6, "hardened")
 
 
+@_query(_with(_state("s", END)) + "SELECT * FROM s")
+def apply_empty_change_set(spark, sf_dir):
+    """A round of destinations that have caught up: no changes, and the tables stay as they are."""
+    return _applied(spark, sf_dir, END)
+
+
 @_query(_with(*_apply(4)) + """, kept AS (SELECT * FROM prev WHERE NOT EXISTS (FROM p2 WHERE p2.change_type = 'delete' AND p2.destination_id = prev.destination_id AND p2.event_id = prev.event_id)),
 m AS (SELECT destination_id, count(*) AS upsert_matched FROM ups JOIN kept USING (destination_id, event_id) GROUP BY ALL)
 SELECT destination_id, count(*) FILTER (change_type = 'delete') AS deleted, count(*) FILTER (change_type <> 'delete') AS upserted, coalesce(any_value(upsert_matched), 0) AS upsert_matched FROM p2 LEFT JOIN m USING (destination_id) GROUP BY destination_id""")
@@ -354,6 +381,13 @@ def cursor_advance(spark, sf_dir):
     return _brief(cursors.advance(_cursor_table(spark, sf_dir), "me", ["d_click", "d_purchase"], 9, F.lit(_NOW).cast("timestamp")))
 
 
+@_query(_with(*_phases(4)) + ", st AS (SELECT 'd_' || event_type AS destination_id, count(*) AS n FROM events WHERE event_type <> 'signup' GROUP BY event_type), d AS (SELECT destination_id, count(*) AS ops FROM p2 GROUP BY ALL)\nSELECT destination_id, n + coalesce(ops, 0) AS rows_replicated FROM st LEFT JOIN d USING (destination_id)")
+def rows_replicated_totals(spark, sf_dir):
+    """Each destination's cumulative count after a round: what it was and the operations of the round."""
+    done = _resolved(spark, sf_dir, 4).groupBy("destination_id").agg(F.count(F.lit(1)).alias("rows"))
+    return cursors.add_rows(_cursor_table(spark, sf_dir), "me", done).filter("instance_id = 'me'").select("destination_id", "rows_replicated")
+
+
 @_query(_CURSOR_SQL + "SELECT destination_id, last_snapshot_id, rows_replicated, CASE WHEN destination_id = 'd_view' THEN 'down' ELSE last_error END AS last_error, destination_id = 'd_view' AS touched FROM st")
 def cursor_record_error(spark, sf_dir):
     return _brief(cursors.record_error(_cursor_table(spark, sf_dir), "me", "d_view", "down", F.lit(_NOW).cast("timestamp")))

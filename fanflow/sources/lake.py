@@ -157,10 +157,13 @@ class LakeTable:
         self._commit(m | {"cursor": m["cursor"] | cursor})
 
     def files(self, snapshot: int | None = None) -> DataFrame:
-        """One row: file count and bytes of what a scan at this snapshot (the current one by default) reads."""
+        """One row: file count, data bytes and delete bytes of what a scan at this snapshot (the current one by default) reads.
+
+        Deletes are rows of the log, or are gone from the base: no files hold deletes alone, so their bytes are zero.
+        """
         m = self.manifest()
         at = [f"{self.path}/log/snapshot_id={n}" for n in m["logs"] if snapshot is None or n <= snapshot] or self.folders(m)
         if not at:
-            return self.spark.createDataFrame([(0, 0)], "files bigint, bytes bigint")
+            return self.spark.createDataFrame([(0, 0, 0)], "files bigint, bytes bigint, delete_bytes bigint")
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(at).select("path", "length")
-        return listed.agg(F.count("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        return listed.agg(F.count("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.lit(0).cast("bigint").alias("delete_bytes"))

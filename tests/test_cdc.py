@@ -97,6 +97,14 @@ def test_quantiles(spark):
     assert metrics.histogram_quantile(metrics.histogram(df.limit(0), "v", (2, 4)), 0.5).first().quantile is None
 
 
+def test_counts_add_up_by_instance(spark):
+    row = lambda d, i, n: (d, i, 1, None, n, None, None, None)
+    state = spark.createDataFrame([row("a", "me", 5), row("b", "me", None), row("c", "me", 7), row("a", "other", 2)], cursors.STATE)
+    done = spark.createDataFrame([("a", 3), ("b", 4), ("z", 9)], "destination_id string, rows bigint")
+    found = {(r.destination_id, r.instance_id): r.rows_replicated for r in cursors.add_rows(state, "me", done).collect()}
+    assert found == {("a", "me"): 8, ("b", "me"): 4, ("c", "me"): 7, ("a", "other"): 2}
+
+
 def test_assignment(spark):
     ids = [f"d{n}" for n in range(50)]
     parts = [cursors.assigned(ids, "hash", total=3, ordinal=k) for k in range(3)]
@@ -113,6 +121,11 @@ def test_plan_has_no_nested_loop_and_one_exchange_for_both_phases(spark):
         assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_both_phases_share_one_sort(spark):
+    plan = QUERIES["multi_cursor_single_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(" Sort [") == 1 and plan.count(" Window [") == 2
+
+
 def test_a_routing_map_needs_no_job(spark):
     df = batch(spark, ("insert", 1, "a", 1))
     tracker, group = spark.sparkContext.statusTracker(), "routing-map"
