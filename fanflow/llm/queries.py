@@ -7,7 +7,7 @@ from fanflow.llm.mixing import op3_mixing
 from fanflow.llm.quality import op2_quality
 from fanflow.llm.quotes import op8_quotes
 from fanflow.llm.simhash import op10_simhash
-from fanflow.llm.spotsigs import OP4_SQL, op4_spotsigs
+from fanflow.llm.spotsigs import OP4_SQL, SIMILAR_SQL, op4_spotsigs, spotsigs_similar
 from fanflow.llm.suffixes import op6_suffix_dedup
 from fanflow.llm.urls import op1_url_filter
 
@@ -22,5 +22,6 @@ QUERIES = {
     "op8_quotes": op8_quotes,
     "op9_hmm": op9_hmm,
     "op10_simhash": op10_simhash,
+    "spotsigs_similar": spotsigs_similar,
 }
-ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL}
+ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL, "spotsigs_similar": SIMILAR_SQL}

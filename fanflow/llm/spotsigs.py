@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fanflow.llm.common import written
+from fanflow.llm.components import components
+
 #: Common words of English, French, German and Spanish that a signature may follow.
 ANCHORS = (
     "a an and are as at be by for from has have he in is it its of on or that the this to was were will with "
@@ -14,6 +17,8 @@ ANCHORS = (
 ).split()
 #: Content words of a chain.
 CHAIN = 2
+#: Sets of one signature that give all their pairs; more give stars first.
+FEW = 16
 #: Documents of a range of ids; bounds that are looked up; most ranges.
 RANGE, BOUNDS, MOST_RANGES = 1000, 64, 100_000
 
@@ -59,27 +64,71 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, spot_signatures(text_col).alias("signatures")).withColumn("fingerprint", digest("signatures"))
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal fingerprints, and pairs of classes whose signature sets have Jaccard likeness of least or more.
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those pairs (a, b: fingerprints) whose signature sets have this Jaccard likeness."""
+    one, two = (sets.select(F.col("fingerprint").alias(c), F.col("signatures").alias(f"set_{c}")) for c in "ab")
+    return pairs.select("a", "b").distinct().join(one, "a").join(two, "b").filter(jaccard("set_a", "set_b", least - 1e-9) >= least - 1e-9).select("a", "b")
+
+
+def _prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(fingerprint, n, rest, part, slot, s): the signatures by which a set of n can meet similar ones, once for each slot.
 
-    Returns members (id_col, class: the class's smallest id) and pairs (a, b: classes, likeness). Sets are partitioned by
-    length so that similar sets are in one partition or neighbouring ones, and meet there only over one of their rarest
-    signatures: of n signatures, sorted by frequency, the first n - ceil(least * n) + 1. Then sizes prune once more and
-    Jaccard decides. Rows without an id are left out.
+    Of n signatures, the rarest first, similar sets share one of the first n - ceil(least * n) + 1; rest counts the others.
+    part is the set's length on a scale where similar sets are in one part or neighbouring ones. Rows of slots part and
+    part + 1 let both meet; a pair counts in the greater one's slot alone.
     """
-    sets = fingerprints(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    named = sets.groupBy("fingerprint").agg(F.min(id_col).alias("class"), F.any_value("signatures").alias("signatures"))
-    members = sets.select(id_col, "fingerprint").join(named.select("fingerprint", "class"), "fingerprint").select(id_col, "class")
-    one = named.filter(F.size("signatures") > 0)
-    each = one.select("class", F.size("signatures").alias("n"), F.explode("signatures").alias("s"))
+    each = sets.select("fingerprint", F.size("signatures").alias("n"), F.explode("signatures").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("often"))
-    ordered = each.join(often, "s").withColumn("at", F.row_number().over(Window.partitionBy("class").orderBy("often", "s")))
-    rare = ordered.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
-    rare = rare.withColumn("part", F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(least)) + 1e-9)).select("class", "n", "s", "part")
-    right = rare.select(F.col("class").alias("b"), F.col("n").alias("bn"), "s", F.explode(F.array(F.col("part"), F.col("part") + 1, F.col("part") - 1)).alias("part"))
-    met = rare.join(right, ["s", "part"]).filter("class < b").filter(F.least("n", "bn") >= F.greatest("n", "bn") * least - 1e-9).select(F.col("class").alias("a"), "b").distinct()
-    left, other = one.select(F.col("class").alias("a"), F.col("signatures").alias("x")), one.select(F.col("class").alias("b"), F.col("signatures").alias("y"))
-    return members, met.join(left, "a").join(other, "b").withColumn("likeness", jaccard("x", "y", least)).filter(F.col("likeness") >= least - 1e-9).select("a", "b", "likeness")
+    at = F.row_number().over(Window.partitionBy("fingerprint").orderBy("often", "s"))
+    rest = F.ceil(F.col("n") * least - 1e-9) - 1
+    part = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(least)) + 1e-9)
+    rare = each.join(often, "s").withColumn("at", at).filter((F.col("at") <= F.col("n") - rest) & (F.col("often") > 1))
+    return rare.select("fingerprint", "n", rest.alias("rest"), part.alias("part"), "s").select("*", F.explode(F.array("part", F.col("part") + 1)).alias("slot"))
+
+
+def _met(members: DataFrame, least: float, *columns: str) -> DataFrame:
+    """Pairs of members of one signature and slot whose sizes allow the likeness: fingerprints a < b and, for both, the columns."""
+    names = ("fingerprint", "n", "part", *columns)
+    one, two = (members.select("s", "slot", *(F.col(x).alias(c if x == "fingerprint" else f"{x}_{c}") for x in names)) for c in "ab")
+    fits = (F.col("a") < F.col("b")) & (F.col("slot") == F.greatest("part_a", "part_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - 1e-9)
+    return one.join(two, ["s", "slot"]).filter(fits)
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
+    """One row for each row of docs: (id_col, fingerprint, component: the smallest id that links reach).
+
+    Texts of equal fingerprints link, and those whose signature sets have Jaccard likeness of least or more: all of them and
+    no others, as far as their components show. Null, empty and wordless texts link with each other only. Null ids stay,
+    and a component without any id has none; equal ids are rows of their own; other columns are left out; an empty table
+    gives none. Sets are partitioned by length and meet over one of their rarest signatures (see _prefixes()). Groups of a
+    signature up to FEW give their pairs, which a bound on what sets can still share prunes: the rare signatures that both
+    have, the lesser count of crowded ones and the greater rest. Larger groups give stars to their first and last set; after
+    that only sets of components that are still apart meet in them. Jaccard decides every link.
+    """
+    sets = fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
+    named = written(sets.groupBy("fingerprint").agg(F.min("id").alias("lowest"), F.any_value("signatures").alias("signatures")), "spots-named")
+    some = named.filter(F.size("signatures") > 0).select("fingerprint", "signatures")
+    spread = written(_prefixes(some, least), "spots-prefixes")
+    groups = spread.groupBy("s", "slot").agg(F.min("fingerprint").alias("lo"), F.max("fingerprint").alias("hi"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = written(spread.join(groups, ["s", "slot"]), "spots-members")
+    crowded = members.filter(F.col("size") > FEW)
+    hot = crowded.groupBy("fingerprint").agg(F.count_distinct("s").alias("hot"))
+    few = members.filter(F.col("size") <= FEW).join(hot, "fingerprint", "left").na.fill(0, ["hot"])
+    shared = _met(few, least, "rest", "hot").groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b", "hot_a", "hot_b").agg(F.count(F.lit(1)).alias("c"))
+    most = F.col("c") + F.least("hot_a", "hot_b") + F.greatest("rest_a", "rest_b")
+    likely = shared.filter(most >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9).select("a", "b")
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("fingerprint").alias("b")), F.struct(F.col("fingerprint").alias("a"), F.col("hi").alias("b")))).alias("e")
+    near = written(_verified(likely.unionByName(crowded.select(ends).select("e.a", "e.b").filter("a < b")), some, least), "spots-near")
+    if not crowded.isEmpty():
+        roots = written(components(near), "spots-roots").withColumnRenamed("a", "fingerprint")
+        rooted = crowded.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        apart = rooted.groupBy("s", "slot").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("s", "slot")
+        met = _met(written(rooted.join(apart, ["s", "slot"], "left_semi"), "spots-apart"), least, "root").filter("root_a <> root_b")
+        near = near.unionByName(_verified(met, some, least))
+    roots = written(components(near), "spots-roots").withColumnRenamed("a", "fingerprint")
+    placed = named.select("fingerprint", "lowest").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    lowest = placed.groupBy("root").agg(F.min("lowest").alias("component"))
+    return sets.select("id", "fingerprint").join(placed.join(lowest, "root").select("fingerprint", "component"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component")
 
 
 def with_next(docs: DataFrame, id_col: str, columns: list[Column], names: list[str]) -> DataFrame:
@@ -126,21 +175,38 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digest("signatures").alias("fingerprint"), digest("edited_signatures").alias("edited_fingerprint"), jaccard("signatures", "edited_signatures").alias("near_edited"), jaccard("signatures", "next_signatures").alias("near_next"))
 
 
+def spotsigs_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs' own join over all documents: doc_id, fingerprint, component_id."""
+    return similar(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumnRenamed("component", "component_id")
+
+
 _COMMON = ", ".join(f"'{a}'" for a in dict.fromkeys(ANCHORS))
 _JACCARD = "CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect({a}, {b}))::DOUBLE / (len({a}) + len({b}) - len(list_intersect({a}, {b}))) END"
-OP4_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next_text FROM d),
-e AS (SELECT *, substring(text, 1, length(text) - length(text) // 2) || substring(next_text, 1, length(text) // 2) AS edited FROM n),
-t AS (SELECT doc_id, 'own' AS kind, text AS t FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e UNION ALL SELECT doc_id, 'next', next_text FROM e),
-w AS (SELECT doc_id, kind, list_filter(string_split_regex(lower(t), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM t),
+_SIGNED = f"""w AS (SELECT doc_id, kind, list_filter(string_split_regex(lower(t), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM t),
 p AS (SELECT *, list_filter(list_transform(w, lambda x, i: CASE WHEN x IN ({_COMMON}) THEN -1 ELSE i END), lambda i: i > 0) AS p FROM w),
 s AS (SELECT doc_id, kind, list_sort(list_distinct(list_concat(
     CASE WHEN len(w) > 0 THEN [concat_ws(' ', '^', w[p[1]], w[p[2]])] ELSE [] END,
     flatten(list_transform(p, lambda k, j: CASE WHEN k - coalesce(p[j - 1], 0) > 1
         THEN list_transform(w[coalesce(p[j - 1], 0) + 1:k - 1], lambda a: concat_ws(' ', a, w[k], w[p[j + 1]])) ELSE [] END))))) AS s FROM p),
-o AS (SELECT doc_id, any_value(s) FILTER (kind = 'own') AS a, any_value(s) FILTER (kind = 'edited') AS b, any_value(s) FILTER (kind = 'next') AS c FROM s GROUP BY doc_id)
+"""
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next_text FROM d),
+e AS (SELECT *, substring(text, 1, length(text) - length(text) // 2) || substring(next_text, 1, length(text) // 2) AS edited FROM n),
+t AS (SELECT doc_id, 'own' AS kind, text AS t FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e UNION ALL SELECT doc_id, 'next', next_text FROM e),
+{_SIGNED}o AS (SELECT doc_id, any_value(s) FILTER (kind = 'own') AS a, any_value(s) FILTER (kind = 'edited') AS b, any_value(s) FILTER (kind = 'next') AS c FROM s GROUP BY doc_id)
 SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, md5(array_to_string(a, chr(10))) AS fingerprint,
     md5(array_to_string(b, chr(10))) AS edited_fingerprint, {_JACCARD.format(a='a', b='b')} AS near_edited, {_JACCARD.format(a='a', b='c')} AS near_next
 FROM e JOIN o USING (doc_id)
 """
+SIMILAR_SQL = f"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS doc_id, doc_id AS id, 'own' AS kind, coalesce(text, '') AS t FROM documents),
+{_SIGNED}f AS (SELECT doc_id, s, len(s) AS n, md5(array_to_string(s, chr(10))) AS fingerprint FROM s),
+c AS (SELECT fingerprint, any_value(s) AS s, any_value(n) AS n FROM f GROUP BY fingerprint),
+x AS (SELECT fingerprint, n, unnest(s) AS g FROM c),
+l AS (SELECT a.fingerprint AS a, b.fingerprint AS b FROM x a JOIN x b ON a.g = b.g AND a.fingerprint <> b.fingerprint
+      GROUP BY a.fingerprint, b.fingerprint, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+r AS (SELECT fingerprint AS a, fingerprint AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT r.a, min(t.id) AS component_id FROM r JOIN f ON f.fingerprint = r.b JOIN t ON t.doc_id = f.doc_id GROUP BY r.a)
+SELECT t.id AS doc_id, fingerprint, component_id FROM t JOIN f USING (doc_id) JOIN m ON m.a = f.fingerprint
+"""

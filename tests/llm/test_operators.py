@@ -413,11 +413,40 @@ def test_spotsigs_edges(spark):
     assert {tuple(r.signatures) for r in rows if r.doc_id == 4} == {("^ cat sat", "and slept", "on mat slept", "the cat sat", "the mat slept")}
     nexts = spotsigs.with_next(odd(spark).select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", [], [])
     assert {(r.doc_id, r.next_text) for r in nexts.collect() if r.doc_id in (8, 7, None)} == {(8, "日本語 " * 3), (7, "the cat"), (None, "word " * 30000)}
-    members, pairs = spotsigs.similar(documents(spark), least=0.5)
-    sets = {r.doc_id: set(r.signatures) for r in spotsigs.fingerprints(documents(spark)).collect()}
-    classes = {r["class"] for r in members.collect()}
-    want = {(a, b) for a, b in itertools.combinations(sorted(classes), 2) if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b])}
-    assert {(r.a, r.b) for r in pairs.collect()} == want
+
+
+@pytest.mark.parametrize("few, least", [(16, 0.8), (2, 0.8), (2, 0.5)])
+def test_spotsigs_components_match_brute_force(spark, monkeypatch, few, least):
+    monkeypatch.setattr(spotsigs, "FEW", few)
+    r, names = random.Random(3), [f"word{n}" for n in range(60)]
+    base = [r.choice([*names, "the", "of", "is"]) for _ in range(150)]
+    copies = []
+    for n in range(40):  # chains of edits, so that some are linked only through others
+        copies.append(" ".join(base))
+        for _ in range(r.choice((0, 3, 9))):
+            base[r.randrange(150)] = r.choice(names)
+    made = spark.createDataFrame([(5000 + n, t) for n, t in enumerate(copies)] + [(5001, copies[1]), (None, copies[2]), (None, "the lone row of no id")], "doc_id bigint, text string")
+    df = documents(spark).select("doc_id", "text").unionByName(made).unionByName(odd(spark).select("doc_id", "text"))
+    sets = [(x.doc_id, frozenset(x.signatures)) for x in spotsigs.fingerprints(df).collect()]
+    alike = lambda x, y: x == y or len(x & y) >= least * len(x | y) - 1e-9
+    root = {x: x for _, x in sets}
+    for x, y in itertools.combinations(list(root), 2):
+        if x and y and alike(x, y) and root[x] is not root[y]:
+            gone = root[y]
+            root = {k: root[x] if v is gone else v for k, v in root.items()}
+    lowest = {}
+    for k, x in sets:
+        if k is not None:
+            lowest[root[x]] = min(lowest.get(root[x], k), k)
+    found = spotsigs.similar(df, least=least).collect()
+    assert Counter((x.doc_id, x.component) for x in found) == Counter((k, lowest.get(root[x])) for k, x in sets)
+    assert len(set(lowest.values())) < len(root)
+
+
+def test_spotsigs_similar_edges(spark):
+    found = spotsigs.similar(odd(spark)).collect()
+    assert sorted((x.doc_id or 0, x.component or 0) for x in found) == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (6, 6), (7, 7), (8, 8)]
+    assert spotsigs.similar(none(spark)).count() == 0
 
 
 def test_hmm_base_and_likelihood(spark, monkeypatch):
