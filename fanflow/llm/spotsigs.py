@@ -19,6 +19,8 @@ ANCHORS = (
 CHAIN = 2
 #: Sets of one signature that give all their pairs; more give stars first.
 FEW = 16
+#: Which share of the texts tells what signatures are common, how often there, and how many; sets that are sent to all tasks by hash.
+SAMPLED, SEEN, COMMON, SENT = 32, 3, 2048, 500_000
 #: Documents of a range of ids; bounds that are looked up; most ranges.
 RANGE, BOUNDS, MOST_RANGES = 1000, 64, 100_000
 
@@ -64,71 +66,102 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, spot_signatures(text_col).alias("signatures")).withColumn("fingerprint", digest("signatures"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Those pairs (a, b: fingerprints) whose signature sets have this Jaccard likeness."""
-    one, two = (sets.select(F.col("fingerprint").alias(c), F.col("signatures").alias(f"set_{c}")) for c in "ab")
-    return pairs.select("a", "b").distinct().join(one, "a").join(two, "b").filter(jaccard("set_a", "set_b", least - 1e-9) >= least - 1e-9).select("a", "b")
+def _commonest(docs: DataFrame) -> Column:
+    """Hashes of the commonest signatures, the commonest last, by a count over every SAMPLED-th text: COMMON at most, which only order prefixes."""
+    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").distinct()
+    each = some.select(F.explode(F.transform(spot_signatures("text"), lambda s: F.xxhash64(s))).alias("h"))
+    found = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= SEEN).orderBy(F.desc("c"), "h").limit(COMMON).collect()
+    return F.from_json(F.lit(str([r.h for r in reversed(found)])), "array<bigint>")
 
 
-def _prefixes(sets: DataFrame, least: float) -> DataFrame:
-    """(fingerprint, n, rest, part, slot, s): the signatures by which a set of n can meet similar ones, once for each slot.
+def _prefixes(docs: DataFrame, least: float) -> DataFrame:
+    """One row (id, fingerprint, f, t, n, keys) for each row of docs: hashes of fingerprint and text, and of the first of n signatures.
 
-    Of n signatures, the rarest first, similar sets share one of the first n - ceil(least * n) + 1; rest counts the others.
-    part is the set's length on a scale where similar sets are in one part or neighbouring ones. Rows of slots part and
-    part + 1 let both meet; a pair counts in the greater one's slot alone.
+    In any one order of all signatures, similar sets share one of their first n - ceil(least * n) + 1; here the commonest
+    come last.
     """
-    each = sets.select("fingerprint", F.size("signatures").alias("n"), F.explode("signatures").alias("s"))
-    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("often"))
-    at = F.row_number().over(Window.partitionBy("fingerprint").orderBy("often", "s"))
-    rest = F.ceil(F.col("n") * least - 1e-9) - 1
-    part = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(least)) + 1e-9)
-    rare = each.join(often, "s").withColumn("at", at).filter((F.col("at") <= F.col("n") - rest) & (F.col("often") > 1))
-    return rare.select("fingerprint", "n", rest.alias("rest"), part.alias("part"), "s").select("*", F.explode(F.array("part", F.col("part") + 1)).alias("slot"))
+    common = _commonest(docs)
+    sets = docs.select("id", "text", spot_signatures("text").alias("signatures")).withColumn("h", F.array_distinct(F.transform("signatures", lambda s: F.xxhash64(s))))
+    ordered = F.concat(F.sort_array(F.array_except("h", common)), F.array_intersect(common, "h"))
+    n = F.size("h")
+    sets = sets.select("id", digest("signatures").alias("fingerprint"), F.xxhash64("text").alias("t"), n.alias("n"), F.slice(ordered, F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1).alias("keys"))
+    return sets.withColumn("f", F.xxhash64("fingerprint"))
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(f, signatures) of the sets with f in wanted (f, t: hash of a text that has it)."""
+    texts = wanted.select("t")
+    texts = F.broadcast(texts) if wanted.count() <= SENT else texts
+    found = docs.select("text").withColumn("t", F.xxhash64("text")).join(texts, "t", "left_semi").dropDuplicates(["t"])
+    return found.select(spot_signatures("text").alias("signatures")).select(F.xxhash64(digest("signatures")).alias("f"), "signatures")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, named: DataFrame, least: float) -> DataFrame:
+    """Those pairs (a, b) whose signature sets have this Jaccard likeness."""
+    pairs = written(pairs.select("a", "b").distinct(), "spots-pairs")
+    some = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
+    sets = written(_sets(docs, written(named.join(some, "f", "left_semi").select("f", "t"), "spots-wanted")), "spots-sets")
+    one, two = (sets.select(F.col("f").alias(c), F.col("signatures").alias(f"set_{c}")) for c in "ab")
+    return pairs.join(one, "a").join(two, "b").filter(jaccard("set_a", "set_b", least - 1e-9) >= least - 1e-9).select("a", "b")
 
 
 def _met(members: DataFrame, least: float, *columns: str) -> DataFrame:
-    """Pairs of members of one signature and slot whose sizes allow the likeness: fingerprints a < b and, for both, the columns."""
-    names = ("fingerprint", "n", "part", *columns)
-    one, two = (members.select("s", "slot", *(F.col(x).alias(c if x == "fingerprint" else f"{x}_{c}") for x in names)) for c in "ab")
+    """Pairs of members of one signature and slot whose sizes allow the likeness: a < b and, for both, the columns."""
+    names = ("f", "n", "part", *columns)
+    one, two = (members.select("s", "slot", *(F.col(x).alias(c if x == "f" else f"{x}_{c}") for x in names)) for c in "ab")
     fits = (F.col("a") < F.col("b")) & (F.col("slot") == F.greatest("part_a", "part_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - 1e-9)
     return one.join(two, ["s", "slot"]).filter(fits)
 
 
+def _members(named: DataFrame, least: float) -> DataFrame:
+    """(s, slot, f, n, part, lo, hi, size) of each signature hash s of keys that several sets of like length have.
+
+    part is the set's length on a scale where similar sets are in one part or neighbouring ones. Rows of slots part and
+    part + 1 let both meet; a pair counts in the greater one's slot alone.
+    """
+    each = named.select("f", "n", F.explode("keys").alias("s"))
+    shared = each.groupBy("s").agg(F.count(F.lit(1)).alias("often")).filter("often > 1").select("s")
+    part = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(least)) + 1e-9).cast("int")
+    spread = each.join(shared, "s").withColumn("part", part).select("*", F.explode(F.array("part", F.col("part") + 1)).alias("slot"))
+    spread = written(spread, "spots-spread")
+    groups = spread.groupBy("s", "slot").agg(F.min("f").alias("lo"), F.max("f").alias("hi"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return written(spread.join(groups, ["s", "slot"]), "spots-members")
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
     """One row for each row of docs: (id_col, fingerprint, component: the smallest id that links reach).
 
     Texts of equal fingerprints link, and those whose signature sets have Jaccard likeness of least or more: all of them and
     no others, as far as their components show. Null, empty and wordless texts link with each other only. Null ids stay,
     and a component without any id has none; equal ids are rows of their own; other columns are left out; an empty table
-    gives none. Sets are partitioned by length and meet over one of their rarest signatures (see _prefixes()). Groups of a
-    signature up to FEW give their pairs, which a bound on what sets can still share prunes: the rare signatures that both
+    gives none. Sets are partitioned by length and meet over one of the first of their signatures (see _prefixes()). Groups of a
+    signature up to FEW give their pairs, which a bound on what sets can still share prunes: the first signatures that both
     have, the lesser count of crowded ones and the greater rest. Larger groups give stars to their first and last set; after
-    that only sets of components that are still apart meet in them. Jaccard decides every link.
+    that only sets of components that are still apart meet in them. Jaccard of whole sets decides every link. Sets, texts and
+    signatures find each other by 64-bit hashes. docs is read up to four times.
     """
-    sets = fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
-    named = written(sets.groupBy("fingerprint").agg(F.min("id").alias("lowest"), F.any_value("signatures").alias("signatures")), "spots-named")
-    some = named.filter(F.size("signatures") > 0).select("fingerprint", "signatures")
-    spread = written(_prefixes(some, least), "spots-prefixes")
-    groups = spread.groupBy("s", "slot").agg(F.min("fingerprint").alias("lo"), F.max("fingerprint").alias("hi"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(spread.join(groups, ["s", "slot"]), "spots-members")
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = written(_prefixes(docs, least), "spots-rows")
+    named = written(rows.groupBy("f").agg(F.min("id").alias("lowest"), F.min("t").alias("t"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")), "spots-named")
+    members = _members(named, least)
     crowded = members.filter(F.col("size") > FEW)
-    hot = crowded.groupBy("fingerprint").agg(F.count_distinct("s").alias("hot"))
-    few = members.filter(F.col("size") <= FEW).join(hot, "fingerprint", "left").na.fill(0, ["hot"])
-    shared = _met(few, least, "rest", "hot").groupBy("a", "b", "n_a", "n_b", "rest_a", "rest_b", "hot_a", "hot_b").agg(F.count(F.lit(1)).alias("c"))
-    most = F.col("c") + F.least("hot_a", "hot_b") + F.greatest("rest_a", "rest_b")
+    hot = crowded.groupBy("f").agg(F.count_distinct("s").alias("hot"))
+    few = members.filter(F.col("size") <= FEW).join(hot, "f", "left").na.fill(0, ["hot"])
+    shared = _met(few, least, "hot").groupBy("a", "b", "n_a", "n_b", "hot_a", "hot_b").agg(F.count(F.lit(1)).alias("c"))
+    most = F.col("c") + F.least("hot_a", "hot_b") + F.ceil(F.greatest("n_a", "n_b") * least - 1e-9) - 1
     likely = shared.filter(most >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9).select("a", "b")
-    ends = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("fingerprint").alias("b")), F.struct(F.col("fingerprint").alias("a"), F.col("hi").alias("b")))).alias("e")
-    near = written(_verified(likely.unionByName(crowded.select(ends).select("e.a", "e.b").filter("a < b")), some, least), "spots-near")
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("f").alias("b")), F.struct(F.col("f").alias("a"), F.col("hi").alias("b")))).alias("e")
+    near = written(_verified(likely.unionByName(crowded.select(ends).select("e.a", "e.b").filter("a < b")), docs, named, least), "spots-near")
     if not crowded.isEmpty():
-        roots = written(components(near), "spots-roots").withColumnRenamed("a", "fingerprint")
-        rooted = crowded.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        roots = written(components(near), "spots-roots").withColumnRenamed("a", "f")
+        rooted = crowded.join(roots, "f", "left").withColumn("root", F.coalesce("root", "f"))
         apart = rooted.groupBy("s", "slot").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("s", "slot")
         met = _met(written(rooted.join(apart, ["s", "slot"], "left_semi"), "spots-apart"), least, "root").filter("root_a <> root_b")
-        near = near.unionByName(_verified(met, some, least))
-    roots = written(components(near), "spots-roots").withColumnRenamed("a", "fingerprint")
-    placed = named.select("fingerprint", "lowest").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        near = near.unionByName(_verified(met, docs, named, least))
+    roots = written(components(near), "spots-roots").withColumnRenamed("a", "f")
+    placed = named.select("f", "lowest").join(roots, "f", "left").withColumn("root", F.coalesce("root", "f"))
     lowest = placed.groupBy("root").agg(F.min("lowest").alias("component"))
-    return sets.select("id", "fingerprint").join(placed.join(lowest, "root").select("fingerprint", "component"), "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component")
+    return rows.select("id", "fingerprint", "f").join(placed.join(lowest, "root").select("f", "component"), "f").select(F.col("id").alias(id_col), "fingerprint", "component")
 
 
 def with_next(docs: DataFrame, id_col: str, columns: list[Column], names: list[str]) -> DataFrame:
