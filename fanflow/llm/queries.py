@@ -1,5 +1,6 @@
 """Queries of the operators and the SQL that gives the same rows, where SQL can."""
 
+from fanflow.llm.align import op11_align
 from fanflow.llm.decontaminate import OP5_SQL, op5_decontaminate
 from fanflow.llm.hmm import op9_hmm
 from fanflow.llm.language import op7_language_id
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_quotes": op8_quotes,
     "op9_hmm": op9_hmm,
     "op10_simhash": op10_simhash,
+    "op11_align": op11_align,
     "spotsigs_similar": spotsigs_similar,
 }
 ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL, "spotsigs_similar": SIMILAR_SQL}
