@@ -5,6 +5,7 @@ from fanflow.llm.decontaminate import OP5_SQL, op5_decontaminate
 from fanflow.llm.hmm import op9_hmm
 from fanflow.llm.language import op7_language_id
 from fanflow.llm.mixing import op3_mixing
+from fanflow.llm.negatives import op12_hard_negatives
 from fanflow.llm.ngrams import op13_ngram_join
 from fanflow.llm.quality import op2_quality
 from fanflow.llm.quotes import op8_quotes
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_hmm": op9_hmm,
     "op10_simhash": op10_simhash,
     "op11_align": op11_align,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_ngram_join": op13_ngram_join,
     "spotsigs_similar": spotsigs_similar,
 }
