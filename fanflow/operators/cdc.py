@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 META = ("change_type", "snapshot_id", "rowid")
@@ -74,8 +74,8 @@ def _orphan(hardened: bool) -> Column:
     return lone | (F.col("_post.at") < F.col("snapshot_id")) if hardened else lone
 
 
-def resolve_preimages(batch: DataFrame, routing: str, keys: Sequence[str] = (), group: Sequence[str] = (), hardened: bool = False) -> DataFrame:
-    """Phase 1: preimages whose row left its destination become deletes, the others go.
+def resolve_preimages(batch: DataFrame, routing: str, keys: Sequence[str] = (), group: Sequence[str] = (), hardened: bool = False, seen: Observation | None = None) -> DataFrame:
+    """Phase 1: preimages whose row left its destination become deletes, the others go. seen observes how many were alone or moved.
 
     A preimage stays as a delete if its rowid has no postimage, or the last one has another routing value (null equals
     null). hardened also takes a preimage as alone if the last visible postimage is older than it.
@@ -83,7 +83,11 @@ def resolve_preimages(batch: DataFrame, routing: str, keys: Sequence[str] = (),
     require_columns(batch, [routing, *keys])
     moved = ~F.col("_post.to").eqNullSafe(col(routing))
     pre = F.col("change_type") == PRE
-    kept = _paired(batch, routing, group).filter(~pre | _orphan(hardened) | moved)
+    paired = _paired(batch, routing, group)
+    if seen is not None:
+        alone = _orphan(hardened)
+        paired = paired.observe(seen, F.count_if(pre & alone).alias("cdc_orphaned_preimages_total"), F.count_if(pre & ~alone & moved).alias("cdc_routing_mutations_total"))
+    kept = paired.filter(~pre | _orphan(hardened) | moved)
     return kept.withColumn("change_type", F.when(pre, DELETE).otherwise(F.col("change_type"))).drop("_post")
 
 
@@ -100,11 +104,15 @@ def _flags(batch: DataFrame, by: Sequence[str]) -> DataFrame:
     return batch.select("*", *(F.max(F.col("change_type") == kind).over(per_row).alias(name) for name, kind in (("_i", INSERT), ("_d", DELETE), ("_p", POST))))
 
 
-def resolve_conflicts(batch: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Phase 2 by destination and rowid: insert and delete cancel, a delete beats postimages, a postimage beats inserts."""
+def resolve_conflicts(batch: DataFrame, by: Sequence[str] = (), seen: Observation | None = None) -> DataFrame:
+    """Phase 2 by destination and rowid: insert and delete cancel, a delete beats postimages, a postimage beats inserts. seen observes the conflicts."""
     ct = F.col("change_type")
     gone = ((ct == INSERT) & (F.col("_d") | F.col("_p"))) | ((ct == DELETE) & F.col("_i")) | ((ct == POST) & F.col("_d"))
-    return _flags(batch, by).filter(~gone).drop("_i", "_d", "_p")
+    flags = _flags(batch, by)
+    if seen is not None:  # each rowid once, by equal shares of its inserts
+        share = 1 / F.sum(F.when(ct == INSERT, 1)).over(Window.partitionBy("rowid", *by))
+        flags = flags.withColumn("_share", F.when((ct == INSERT) & (F.col("_d") | F.col("_p")), share)).observe(seen, F.coalesce(F.round(F.sum("_share")).cast("bigint"), F.lit(0)).alias("cdc_conflicts_resolved_total"))
+    return flags.filter(~gone).drop("_i", "_d", "_p", "_share")
 
 
 def conflict_counts(batch: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -151,10 +159,19 @@ def delete_predicate(rows: list[dict], keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (col(k).eqNullSafe(F.lit(r[k])) for k in keys)) for r in rows))
 
 
-def apply_changes(table: DataFrame, batch: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Phase 3: the table after the deletes and then the upserts of a resolved batch. Deletes never touch the batch's upserts."""
+def apply_changes(table: DataFrame, batch: DataFrame, keys: Sequence[str], by: Sequence[str] = (), seen: Observation | None = None) -> DataFrame:
+    """Phase 3: the table after the deletes and then the upserts of a resolved batch. Deletes never touch the batch's upserts.
+
+    seen observes the table's rows that upserts replace (and no delete takes away).
+    """
     require_columns(batch, keys)
     new = strip_meta(last_write_wins(batch, keys, by))
+    if seen is not None:
+        names = [*by, *keys]
+        kinds = batch.groupBy(*(col(k).alias(f"_k{n}") for n, k in enumerate(names))).agg(F.max(F.col("change_type") == DELETE).alias("_gone"))
+        met = table.join(kinds, reduce(lambda a, b: a & b, (col(k).eqNullSafe(F.col(f"_k{n}")) for n, k in enumerate(names))), "left")
+        met = met.observe(seen, F.count_if(~F.col("_gone")).alias("upsert_matched")).filter("_gone is null")
+        return met.select(*map(col, table.columns)).unionByName(new.select(*map(col, table.columns)))
     touched = batch.select(*(col(k) for k in [*by, *keys]))
     return without_keys(table, touched, [*by, *keys]).unionByName(new.select(*table.columns))
 

@@ -12,17 +12,28 @@ from fanflow.operators.cdc import RoutingError, col, require_columns
 SMALL_MAP = 200_000
 
 
-def routing_map(df: DataFrame, field: str, values: dict[str, str]) -> DataFrame:
-    """(_value, destination_id) with values cast once to the routing column's type; a value that has none is an error."""
+def _typed(df: DataFrame, field: str, values: dict[str, str]) -> DataFrame:
+    """(text, destination_id, _value): values cast once to the routing column's type, null where that can't be. A local relation, whose filters need no job."""
     require_columns(df, [field])
     kind = df.schema[field].dataType
     if kind.typeName() in ("array", "map", "struct", "variant"):
         raise RoutingError(f"{field} is of type {kind.simpleString()}, which has no routing values")
     table = pa.table({"text": pa.array([str(v) for v in values], pa.string()), "destination_id": pa.array(list(values.values()), pa.string())})
-    made = df.sparkSession.createDataFrame(table).withColumn("_value", F.col("text").try_cast(kind))  # a local relation: checked without a job
+    return df.sparkSession.createDataFrame(table).withColumn("_value", F.col("text").try_cast(kind))
+
+
+def typed_values(df: DataFrame, field: str, values: dict[str, str]) -> tuple[dict[str, str], dict[str, str]]:
+    """values (value -> destination) that the routing column can have, and those that it can't."""
+    bad = {r.text for r in _typed(df, field, values).filter(F.col("_value").isNull()).collect()}
+    return {v: d for v, d in values.items() if v not in bad}, {v: d for v, d in values.items() if v in bad}
+
+
+def routing_map(df: DataFrame, field: str, values: dict[str, str]) -> DataFrame:
+    """(_value, destination_id) with values cast once to the routing column's type; a value that has none is an error."""
+    made = _typed(df, field, values)
     bad = [r.text for r in made.filter(F.col("_value").isNull()).limit(5).collect()]
     if bad:
-        raise RoutingError(f"{bad} are no values of {field}: {kind.simpleString()}")
+        raise RoutingError(f"{bad} are no values of {field}: {df.schema[field].dataType.simpleString()}")
     return made.select("_value", "destination_id")
 
 

@@ -69,6 +69,15 @@ def _properties(section: object, where: str) -> dict[str, str]:
     return {k.removesuffix("_env"): _env(section, k.removesuffix("_env")) for k in section}
 
 
+def _names(value: object, name: str) -> tuple[str, ...]:
+    """A list of names; a bare string is no list of its letters."""
+    if value is None:
+        return ()
+    if not isinstance(value, list | tuple) or not all(isinstance(v, str) and v for v in value):
+        raise ConfigError(f"{name} must be a list of strings")
+    return tuple(value)
+
+
 def parse(raw: dict) -> Config:
     source, routing, instance = raw.get("source") or {}, raw.get("routing") or {}, raw.get("instance") or {}
     part, defaults = instance.get("partition") or {}, _properties((raw.get("defaults") or {}).get("properties") or {}, "defaults.properties")
@@ -91,8 +100,8 @@ def parse(raw: dict) -> Config:
     if ordinal >= total:
         raise ConfigError("partition.ordinal must be below partition.total")
     return Config(
-        _text(_env(source, "path"), "source path"), _text(routing.get("field"), "routing.field"), tuple(made), tuple(routing.get("key_columns") or ()), seed,
-        _number((raw.get("poll") or {}).get("interval_seconds", 5), "poll.interval_seconds", 1), str(instance.get("id", "default")), mode, tuple(part.get("include") or ()), total, ordinal, routing.get("pairing", "compatible"),
+        _text(_env(source, "path"), "source path"), _text(routing.get("field"), "routing.field"), tuple(made), _names(routing.get("key_columns"), "routing.key_columns"), seed,
+        _number((raw.get("poll") or {}).get("interval_seconds", 5), "poll.interval_seconds", 1), str(instance.get("id", "default")), mode, _names(part.get("include"), "partition.include"), total, ordinal, routing.get("pairing", "compatible"),
     )
 
 

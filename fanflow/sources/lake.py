@@ -120,12 +120,12 @@ class LakeTable:
         """Folders of the data files that this manifest holds."""
         return list(manifest["base"] or [])
 
-    def set_folders(self, folders: list[str], cursor: dict | None = None) -> None:
-        """A new version of these folders, written before, and the cursor with it. Tables with a change log are refused: scans read the log."""
+    def set_folders(self, folders: list[str], cursor: dict | None = None, layout: dict | None = None) -> None:
+        """A new version of these folders, written before, with the cursor and how the rows lie in them. Tables with a change log are refused: scans read the log."""
         m = self.manifest()
         if m["logs"]:
             raise ValueError(f"{self.path} has a change log: commit changes instead")
-        self._commit(m | {"base": folders, "snapshot": (m["snapshot"] or 0) + 1, "cursor": m["cursor"] | (cursor or {})})
+        self._commit(m | {"base": folders, "snapshot": (m["snapshot"] or 0) + 1, "cursor": m["cursor"] | (cursor or {}), "buckets": None, "held": {}} | (layout or {}))
 
     def _written(self, rows: DataFrame) -> str:
         if self.manifest()["logs"]:
