@@ -95,31 +95,37 @@ def link(parsed: DataFrame) -> DataFrame:
 
 
 def _previous(nodes: DataFrame) -> DataFrame:
-    """nodes (conv, turn: distinct, not null) with prev_turn, the next lower turn of the conversation: sorted in blocks of TURNS turns."""
-    cut = nodes.withColumn("block", F.floor(F.col("turn") / TURNS))
+    """nodes (conv, turn: distinct, not null) with prev_turn, the next lower turn of the conversation: sorted in blocks of TURNS turns. Turns that are no numbers have none before."""
+    cut = nodes.withColumn("block", F.floor(F.col("turn").cast("string").try_cast("double") / TURNS))
+    odd = cut.filter("block is null").select("conv", "turn", F.col("turn").alias("prev_turn")).withColumn("prev_turn", F.when(F.lit(False), F.col("prev_turn")))
+    cut = cut.filter("block is not null")
     last = cut.groupBy("conv", "block").agg(F.max("turn").alias("last"))
     before = last.withColumn("before", F.lag("last").over(Window.partitionBy("conv").orderBy("block"))).drop("last")
     inside = cut.withColumn("prev_turn", F.lag("turn").over(Window.partitionBy("conv", "block").orderBy("turn")))
-    return inside.join(before, ["conv", "block"]).select("conv", "turn", F.coalesce("prev_turn", "before").alias("prev_turn"))
+    return inside.join(before, ["conv", "block"]).select("conv", "turn", F.coalesce("prev_turn", "before").alias("prev_turn")).unionByName(odd)
 
 
 def depths(parents: DataFrame) -> DataFrame:
     """(conv, turn, depth) from distinct messages (conv, turn, up: struct of conv and turn, or null): how many replies lead to each.
 
     Rounds of joins double the distance to the ancestor that each message knows, so their number grows with the
-    logarithm of the longest chain. Where replies run in a circle, the least message of it counts as its first.
+    logarithm of the longest chain. Where replies run in a circle, the least message of the circle counts as its first:
+    a message is on a circle only if its replies lead back to it. Messages that lead into a circle are none of it: rounds go on
+    until the messages that pointers end at don't become fewer, which are then those of the circles, and until the
+    least message on each way stands.
     """
     me = F.struct("conv", "turn")
     state = written(parents.select("conv", "turn", "up", F.col("up").isNotNull().cast("long").alias("depth"), F.when(F.col("up").isNull(), me).otherwise(F.least(me, "up")).alias("least")), "quote-depth")
     seen = None
-    while (now := state.filter("up is not null").agg(F.count(F.lit(1)), F.sum(F.xxhash64("least") % 2**31)).first())[0] and now != seen:
+    while (now := state.filter("up is not null").agg(F.count(F.lit(1)), F.sum(F.xxhash64("least") % 2**31), F.count_distinct("up.conv", "up.turn")).first())[0] and now != seen:
         ends = state.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("far"), F.col("depth").alias("more"), F.col("least").alias("low"))
         far = state.filter("up is not null").join(ends, (F.col("up.conv") == F.col("c")) & (F.col("up.turn") == F.col("t")))
         far = far.select("conv", "turn", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.least("least", "low").alias("least"))
         state, seen = written(state.filter("up is null").unionByName(far), "quote-depth"), now
     if not now[0]:
         return state.select("conv", "turn", "depth")
-    first = state.filter("up is not null").select("least.*").distinct()  # the least messages of circles, and none besides
+    ends = state.filter("up is not null").select("up.conv", "up.turn").distinct()  # the messages on circles
+    first = state.join(ends, ["conv", "turn"], "left_semi").select("least.*").distinct()
     return depths(parents.join(first.withColumn("first", F.lit(True)), ["conv", "turn"], "left").select("conv", "turn", F.when(F.col("first").isNull(), F.col("up")).alias("up")))
 
 
@@ -143,7 +149,7 @@ def conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "
     one another are one (conversation: the smallest id that links reach), in which position counts the messages by
     depth, the number of replies that lead to them, then conversation, turn and text: a reply comes after what it
     replies to, whichever conversation that is of. (If replies run in a circle, its least message counts as its first.)
-    Null texts are empty, null conversations stay apart from all others as one, null turns come first; repeated rows stay.
+    Turns that are no numbers have no turn before. Null texts are empty, null conversations stay apart from all others as one, null turns come first; repeated rows stay.
     """
     parsed = written(messages(turns, conv_col, turn_col, role_col, text_col), "quote-parsed")
     links = written(link(parsed), "quote-links")
