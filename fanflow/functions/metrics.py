@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fanflow.operators import cdc
@@ -17,11 +17,11 @@ BATCH_ROWS = (100, 500, 1_000, 5_000, 10_000, 50_000, 100_000, 500_000, 1_000_00
 BOUNDS = 256
 
 
-def histogram(df: DataFrame, value: str, edges: tuple[int, ...] = BATCH_ROWS) -> DataFrame:
-    """(le, count): values up to each edge, cumulative; le is +Inf for all."""
-    counts = df.agg(*(F.count_if(F.col(value) <= e).alias(f"c{n}") for n, e in enumerate(edges)), F.count(value).alias("all"))
+def histogram(df: DataFrame, value: str, edges: tuple[int, ...] = BATCH_ROWS, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, le, count): values up to each edge, cumulative; le is +Inf for all. One scan for all labels, counted before the shuffle."""
+    counts = df.groupBy(*by).agg(*(F.count_if(F.col(value) <= e).alias(f"c{n}") for n, e in enumerate(edges)), F.count(value).alias("all"))
     rows = F.array(*(F.struct(F.lit(str(e)).alias("le"), F.col(f"c{n}").alias("count")) for n, e in enumerate(edges)), F.struct(F.lit("+Inf").alias("le"), F.col("all").alias("count")))
-    return counts.select(F.inline(rows))
+    return counts.select(*by, F.inline(rows))
 
 
 def quantiles(df: DataFrame, value: str, qs: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
@@ -80,23 +80,22 @@ def rate_by(samples: DataFrame, series: list[str], by: str, at: str, value: str)
     return rates(labelled, "_series", at, value).join(label, "_series").groupBy(by, at).agg(F.sum("rate").alias("rate"))
 
 
-def round_metrics(changes: DataFrame, routed: DataFrame, resolved: DataFrame, table: DataFrame, routing: str, keys: tuple[str, ...], pipeline: str) -> DataFrame:
-    """(pipeline, metric, destination_id, value) of one round.
+#: Names of a round's metrics, those of the round and those of each destination.
+ROUND = ("polls_total", "cdc_read_seconds", "cdc_rows_read_total", "source_snapshot_id", "dest_write_seconds", "unrouted_rows_total", "errors_total", "cdc_batch_rows", "cdc_routing_mutations_total", "cdc_conflicts_resolved_total", "cdc_orphaned_preimages_total", "dest_upsert_matched_total")
+EACH = ("dest_rows_written_total", "dest_rows_deleted_total", "dest_rows_upserted_total", "dest_upsert_matched_total", "dest_last_snapshot_id", "dest_lag_snapshots")
 
-    changes has destination_id, null for rows without a route; routed is window_for()'s; resolved are the rows after phases 1
-    and 2; table is what the destinations held before. Metrics of a destination have its id, others null.
+
+def relation(spark: SparkSession, numbers: dict[str, float], destinations: dict[str, dict[str, float]], pipeline: str, kind: str = "double") -> DataFrame:
+    """(pipeline, metric, destination_id, value): a round's numbers, and those of its destinations, as they were observed in its own jobs.
+
+    Names that are none of ROUND and EACH are left out, as are numbers that a round has not.
     """
-    read = changes.agg(F.count(F.lit(1)).alias("cdc_rows_read_total"), F.count_if(F.col("destination_id").isNull()).alias("unrouted_rows_total"))
-    first = cdc.resolve_preimages(routed, routing, keys, ("cursor",))
-    pre = cdc.preimage_counts(routed, routing, ("cursor",)).select(F.col("mutations").alias("cdc_routing_mutations_total"), F.col("orphans").alias("cdc_orphaned_preimages_total"))
-    conflicts = cdc.conflict_counts(first, ("destination_id",)).select(F.col("conflicts").alias("cdc_conflicts_resolved_total"))
-    sent = cdc.apply_counts(table, resolved, keys, ("destination_id",))
-    sent = sent.select("destination_id", (F.col("deleted") + F.col("upserted")).alias("dest_rows_written_total"), F.col("deleted").alias("dest_rows_deleted_total"), F.col("upserted").alias("dest_rows_upserted_total"), F.col("upsert_matched").alias("dest_upsert_matched_total"))
-
-    def long(df: DataFrame) -> DataFrame:
-        who = F.col("destination_id") if "destination_id" in df.columns else F.lit(None).cast("string")
-        names = [c for c in df.columns if c != "destination_id"]
-        return df.select(who.alias("destination_id"), F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in names))))
-
-    parts = [long(d) for d in (read, pre, conflicts, sent)]
-    return reduce(DataFrame.unionByName, parts).select(F.lit(pipeline).alias("pipeline"), "metric", "destination_id", "value")
+    rows = [(n, None, numbers[n]) for n in ROUND if n in numbers] + [(n, d, v[n]) for d, v in destinations.items() for n in EACH if n in v]
+    table = pa.table({"metric": pa.array([r[0] for r in rows], pa.string()), "destination_id": pa.array([r[1] for r in rows], pa.string()), "value": pa.array([float(r[2]) for r in rows], pa.float64())})
+    return spark.createDataFrame(table).select(F.lit(pipeline).alias("pipeline"), "metric", "destination_id", F.col("value").cast(kind).alias("value"))
+
+
+def sent(table: DataFrame, batch: DataFrame, keys: tuple[str, ...]) -> dict[str, dict[str, int]]:
+    """By destination: rows that a resolved batch writes, deletes and upserts, and those upserts that table has. One job; a row for each destination comes back."""
+    rows = cdc.apply_counts(table, batch, keys, ("destination_id",)).collect()
+    return {r.destination_id: {"dest_rows_written_total": r.deleted + r.upserted, "dest_rows_deleted_total": r.deleted, "dest_rows_upserted_total": r.upserted, "dest_upsert_matched_total": r.upsert_matched} for r in rows}

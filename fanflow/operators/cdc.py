@@ -62,6 +62,13 @@ def as_of(log: DataFrame, snapshot: int) -> DataFrame:
     return ranked.filter((F.col("_last") == 1) & F.col("change_type").isin(INSERT, POST)).drop("_last", "change_type", "snapshot_id")
 
 
+def as_of_base(base: DataFrame, tail: DataFrame) -> DataFrame:
+    """User rows (with rowid) after base (user columns and rowid, at one snapshot) and the changes tail after it: rows that tail touches are as their last event left them."""
+    last = tail.groupBy("rowid").agg(F.max_by(F.struct(*map(col, base.columns), F.col("change_type").isin(INSERT, POST).alias("_live")), F.struct("snapshot_id", F.col("change_type").isin(INSERT, POST).alias("live"))).alias("_last"))
+    kept = base.join(last.select(F.col("rowid").alias("_rowid")), F.col("rowid") == F.col("_rowid"), "left_anti")
+    return kept.unionByName(last.select("_last.*").filter("_live").drop("_live"))
+
+
 def _paired(batch: DataFrame, routing: str, group: Sequence[str]) -> DataFrame:
     """With _post: struct of the routing value and snapshot of the rowid's last postimage, null without one."""
     per_row = Window.partitionBy("rowid", *group)
@@ -130,9 +137,10 @@ def deletes(batch: DataFrame) -> DataFrame:
 
 
 def last_write_wins(batch: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Of the upserts of one key the one of the highest snapshot, then rowid."""
-    order = Window.partitionBy(*map(col, [*by, *keys])).orderBy(F.col("snapshot_id").desc(), F.col("rowid").desc())
-    return upserts(batch).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    """Of the upserts of one key the one of the highest snapshot, then rowid: found in each task before the shuffle, so that a hot key brings few rows to one."""
+    rows = upserts(batch)
+    last = rows.groupBy(*map(col, [*by, *keys])).agg(F.max_by(F.struct(*map(col, rows.columns)), F.struct("snapshot_id", "rowid")).alias("_last"))
+    return last.select("_last.*")
 
 
 def without_keys(table: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -78,6 +78,17 @@ def status_document(states: DataFrame, source_table: str, snapshot: int | None,
     return states.agg(rows.alias("destinations")).select(F.to_json(whole, {"ignoreNullFields": "false"}).alias("document"))
 
 
+#: Seconds since the last poll, and since the last replication, from which on an instance is not alive, and not ready.
+ALIVE, READY = 300, 600
+
+
+def health(df: DataFrame, now: Column) -> DataFrame:
+    """df (last_poll_at, last_replicated_at) with alive and ready. Alive: it has polled within ALIVE seconds; ready: alive, and what was ever replicated was so within READY."""
+    age = lambda c: F.unix_micros(now.cast("timestamp")) / 1e6 - F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+    alive = F.coalesce(age("last_poll_at") < ALIVE, F.lit(False))
+    return df.withColumn("alive", alive).withColumn("ready", alive & (F.col("last_replicated_at").isNull() | (age("last_replicated_at") < READY)))
+
+
 def max_lag(cursors: DataFrame, current: int) -> DataFrame:
     return cursors.agg(F.max(F.lit(current) - F.coalesce("last_snapshot_id", F.lit(0))).alias("max_lag"))
 

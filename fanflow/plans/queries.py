@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fanflow.functions import metrics
@@ -438,11 +438,7 @@ def rate_by_destination(spark, sf_dir):
 
 @_query(_with(_BATCHES) + ", e AS (SELECT unnest([" + ", ".join(map(str, metrics.BATCH_ROWS)) + "])::DOUBLE AS le UNION ALL SELECT 'inf'::DOUBLE), h AS (SELECT company, le, count(*) FILTER (n <= le) AS c FROM b, e GROUP BY ALL),\nw AS (SELECT *, coalesce(lag(le) OVER o, 0) AS low, coalesce(lag(c) OVER o, 0) AS under, 0.95 * max(c) OVER (PARTITION BY company) AS rank FROM h WINDOW o AS (PARTITION BY company ORDER BY le))\nSELECT company, arg_min(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * (rank - under) / (c - under) END, le) AS quantile FROM w WHERE c >= rank AND c > under GROUP BY company")
 def batch_rows_quantile_from_buckets(spark, sf_dir):
-    each = [metrics.histogram(_batches(spark, sf_dir).filter(F.col("company") == k), "n").withColumn("company", F.lit(k)) for k in KINDS]
-    buckets = each[0]
-    for more in each[1:]:
-        buckets = buckets.unionByName(more)
-    return metrics.histogram_quantile(buckets, 0.95, ("company",))
+    return metrics.histogram_quantile(metrics.histogram(_batches(spark, sf_dir), "n", by=("company",)), 0.95, ("company",))
 
 
 @_query(_with() + ", s AS (SELECT change_type, company, snapshot_id, count(*) AS n FROM log WHERE company IS NOT NULL GROUP BY ALL),\nr AS (SELECT company, snapshot_id, (CASE WHEN n < lag(n) OVER w THEN n ELSE n - lag(n) OVER w END)::DOUBLE / (snapshot_id - lag(snapshot_id) OVER w) AS rate FROM s WINDOW w AS (PARTITION BY change_type, company ORDER BY snapshot_id))\nSELECT company, snapshot_id, sum(rate) AS rate FROM r WHERE rate IS NOT NULL GROUP BY ALL")
@@ -463,8 +459,16 @@ UNION ALL SELECT 'cdc_conflicts_resolved_total', NULL, count(*) FILTER (i AND (d
 UNION ALL SELECT 'dest_rows_written_total', destination_id, del + up FROM d UNION ALL SELECT 'dest_rows_deleted_total', destination_id, del FROM d
 UNION ALL SELECT 'dest_rows_upserted_total', destination_id, up FROM d UNION ALL SELECT 'dest_upsert_matched_total', destination_id, coalesce(matched, 0) FROM d LEFT JOIN m USING (destination_id))""")
 def round_metrics(spark, sf_dir):
-    changes = routing.route(cdc.in_range(change_log(spark, sf_dir), 4, END), "company", DESTINATIONS, True)
-    return metrics.round_metrics(changes, _routed(spark, sf_dir, 4), _resolved(spark, sf_dir, 4), _at(spark, sf_dir, 4), "company", _KEYS, "events-me")
+    """One scan of the changes: the numbers are observed as the rows pass."""
+    seen, first, second = Observation(), Observation(), Observation()
+    starts = spark.createDataFrame(pa.table({"destination_id": list(DESTINATIONS.values()), "last_snapshot_id": pa.array([4] * len(DESTINATIONS), pa.int64())}))
+    batch = replicate.window_for(cdc.in_range(change_log(spark, sf_dir), 4, END), "company", DESTINATIONS, starts, seen)
+    batch = replicate.resolve(batch, "company", _KEYS, "compatible", first, second).drop("cursor").persist()
+    try:
+        each = metrics.sent(_at(spark, sf_dir, 4), batch, _KEYS)
+    finally:
+        batch.unpersist()
+    return metrics.relation(spark, seen.get | first.get | second.get, each, "events-me", "bigint")
 
 
 @_query(_CURSOR_SQL + "SELECT to_json(struct_pack(source_table := 'events', source_snapshot := 9, mode := 'cdc', poll_interval := 5, destinations := list(struct_pack(destination_id := destination_id, snapshot := last_snapshot_id, lag := 9 - last_snapshot_id, rows_replicated := rows_replicated, status := CASE WHEN last_error IS NOT NULL THEN 'error' WHEN last_snapshot_id < 9 THEN 'lagging' ELSE 'healthy' END, last_error := last_error) ORDER BY destination_id)))::VARCHAR AS document FROM c")
@@ -484,7 +488,27 @@ def _lake(spark: SparkSession, sf_dir: str, last: int = END) -> tuple[Config, La
 
 def _held(spark: SparkSession, cfg: Config) -> DataFrame:
     tables = {d.id: LakeTable.load(spark, d.path) for d in cfg.destinations}
-    return replicate.held_rows(spark, tables, {k: t.manifest() for k, t in tables.items()}, next(iter(tables.values())).schema)
+    return replicate.held_rows(spark, {f: k for k, t in tables.items() for f in t.folders(t.manifest())}, next(iter(tables.values())).schema)
+
+
+@_query(_with(_state("s", 6)) + "SELECT event_id, company, val, destination_id FROM s")
+def scan_as_of_from_base(spark, sf_dir):
+    """The rows at snapshot 6 from what was materialised of snapshot 4 and the changes after it."""
+    source = _lake(spark, sf_dir)[1]
+    source.materialise(4)
+    return routing.route(source.scan(6), "company", DESTINATIONS)
+
+
+_HEALTH = "SELECT event_type, max(ts) AS last_poll_at, max(ts) FILTER (value > 50) AS last_replicated_at FROM events GROUP BY ALL"
+
+
+@_query(f"WITH h AS ({_HEALTH}), n AS (SELECT max(ts) AS now FROM events) SELECT event_type, coalesce(epoch(now) - epoch(last_poll_at) < 300, false) AS alive, coalesce(epoch(now) - epoch(last_poll_at) < 300, false) AND (last_replicated_at IS NULL OR epoch(now) - epoch(last_replicated_at) < 600) AS ready FROM h, n")
+def health_by_age(spark, sf_dir):
+    """Liveness and readiness of each kind's writer at the time of the last event: events are its polls, those over 50 its replications."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", "ts", "value")
+    last = events.groupBy("event_type").agg(F.max("ts").alias("last_poll_at"), F.max(F.when(F.col("value") > 50, F.col("ts"))).alias("last_replicated_at"))
+    now = last.agg(F.max("last_poll_at").alias("now"))
+    return cursors.health(last.crossJoin(F.broadcast(now)), F.col("now")).select("event_type", "alive", "ready")
 
 
 @_query(None)

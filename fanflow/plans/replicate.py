@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from fanflow.functions import metrics
 from fanflow.operators import cdc, cursors, routing
 from fanflow.sources.config import Config, Destination
 from fanflow.sources.lake import LakeTable, fs_has_data
@@ -333,7 +334,7 @@ def run_round(spark: SparkSession, cfg: Config, wait: Callable[[float], None] =
         failed |= broken
     finally:
         batch.unpersist()
-    out.numbers |= {"dest_upsert_matched_total": matched[0], "cdc_write_seconds": time.time() - began - out.numbers["cdc_read_seconds"]}
+    out.numbers |= {"dest_upsert_matched_total": matched[0], "dest_write_seconds": time.time() - began - out.numbers["cdc_read_seconds"]}
 
     def commit(key: str, table: LakeTable) -> dict:
         if key in failed:
@@ -343,23 +344,32 @@ def run_round(spark: SparkSession, cfg: Config, wait: Callable[[float], None] =
             table.set_cursor({"snapshot": current, "error": None, "error_at": None})
         else:
             _commit(table, plans[key].kept, written[key], plans[key].buckets, done)
-        return {"rows": rows.get(key, 0), "deleted": deleted[key], "rewritten": sum(written.get(key, {}).values()), "seconds": time.time() - began, "error": None}
+        return {"rows": rows.get(key, 0), "deleted": deleted[key], "rewritten": sum(written.get(key, {}).values()), "seconds": time.time() - began, "snapshot": current, "error": None}
 
     results = _each({k: late[k] for k in good if k not in failed}, commit, wait) | failed
     for key in late:
         result = results[key]
         if isinstance(result, Exception):
-            result = {"rows": 0, "deleted": 0, "rewritten": 0, "seconds": time.time() - began, "error": str(result)}
+            result = {"rows": 0, "deleted": 0, "rewritten": 0, "seconds": time.time() - began, "snapshot": _cursor(manifests[key]), "error": str(result)}
             try:
                 late[key][1].set_cursor({"error": result["error"], "error_at": _now(), "replicated_at": None})
             except Exception:  # the store of a lost destination may be lost too: the others' results stand
                 log.exception("error of destination %s can't be recorded", key)
         out.destinations[key] = result
-    lag = [current - (current if v["error"] is None else _cursor(manifests[k])) for k, v in out.destinations.items()]
-    out.numbers |= {"cycle_seconds": time.time() - began, "routing_errors_total": len(bad), "destination_errors_total": sum(v["error"] is not None for v in out.destinations.values()), "max_lag_snapshots": max(lag), "snapshots_read": current - start}
+    out.numbers |= {
+        "polls_total": 1, "cycle_seconds": time.time() - began, "routing_errors_total": len(bad), "errors_total": sum(v["error"] is not None for v in out.destinations.values()),
+        "source_snapshot_id": current, "snapshots_read": current - start, "max_lag_snapshots": max(current - v["snapshot"] for v in out.destinations.values()), "cdc_batch_rows": sum(rows.values()),
+    }
     return out
 
 
+def round_metrics(spark: SparkSession, cfg: Config, done: Round) -> DataFrame:
+    """(pipeline, metric, destination_id, value) of a round that was run: no further scan."""
+    current = done.numbers.get("source_snapshot_id", 0)
+    each = {k: {"dest_rows_written_total": v["rows"], "dest_rows_deleted_total": v["deleted"], "dest_rows_upserted_total": v["rows"] - v["deleted"], "dest_last_snapshot_id": v["snapshot"], "dest_lag_snapshots": current - v["snapshot"]} for k, v in done.destinations.items()}
+    return metrics.relation(spark, done.numbers, each, cfg.pipeline)
+
+
 def status(spark: SparkSession, cfg: Config) -> DataFrame:
     """(destination_id, snapshot, lag, rows_replicated, status, last_error, last_replicated_at, last_error_at) from the manifests."""
     source = LakeTable.load(spark, cfg.source_path)

@@ -113,9 +113,28 @@ class LakeTable:
         """Rows at a snapshot of the log, or of the current base version."""
         m = self.manifest()
         if m["logs"]:
-            return cdc.as_of(self.log(), snapshot if snapshot is not None else m["snapshot"]).select(*self.schema.names)
+            at = snapshot if snapshot is not None else m["snapshot"]
+            return self._rows_at(m, at).select(*map(cdc.col, self.schema.names))
         return self.spark.read.schema(self.schema).parquet(*self.folders(m)) if self.folders(m) else self.spark.createDataFrame([], self.schema)
 
+    def _rows_at(self, m: dict, at: int) -> DataFrame:
+        """Rows with rowid at a snapshot: from the nearest materialised one at or before it, if any, and the changes since."""
+        base = max((int(n) for n in m.get("bases", {}) if int(n) <= at), default=None)
+        if base is None:
+            return cdc.as_of(self.log(), at)
+        rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("rowid", T.LongType())])).parquet(m["bases"][str(base)])
+        return cdc.as_of_base(rows, cdc.in_range(self.log(), base, at)) if base < at else rows
+
+    def materialise(self, snapshot: int | None = None) -> None:
+        """Writes the rows at a snapshot of the log (the current one by default); scans of it and later ones begin there and read only the changes since."""
+        m = self.manifest()
+        at = snapshot if snapshot is not None else m["snapshot"]
+        if not m["logs"] or at is None or str(at) in m.get("bases", {}):
+            return
+        path = f"{self.path}/base-{at}-{uuid.uuid4().hex}"
+        self._rows_at(m, at).write.parquet(path)
+        self._commit(self.manifest() | {"bases": m.get("bases", {}) | {str(at): path}})
+
     def folders(self, manifest: dict) -> list[str]:
         """Folders of the data files that this manifest holds."""
         return list(manifest["base"] or [])

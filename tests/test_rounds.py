@@ -5,8 +5,11 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 from test_replicate import SCHEMA, commit, held, made
 
+from fanflow.functions import metrics
+from fanflow.operators import cdc, cursors
 from fanflow.operators.routing import RoutingError
 from fanflow.plans import replicate
 from fanflow.sources import config
@@ -34,7 +37,7 @@ def test_a_destination_that_lost_its_data_fails_alone(spark, tmp_path):
         shutil.rmtree(folder)
     commit(spark, source, (1, "a", 11, "update_postimage", 1), (3, "b", 33, "update_postimage", 3))
     said = replicate.run_once(spark, cfg, wait=lambda s: None)
-    assert said["da"]["error"] and said["db"] | {"seconds": 0} == {"rows": 1, "deleted": 0, "rewritten": 1, "seconds": 0, "error": None}
+    assert said["da"]["error"] and said["db"] | {"seconds": 0} == {"rows": 1, "deleted": 0, "rewritten": 1, "seconds": 0, "snapshot": 2, "error": None}
     states = {r.destination_id: r for r in replicate.status(spark, cfg).collect()}
     assert (states["da"].snapshot, states["da"].lag, states["da"].status, states["da"].last_error_at is None) == (1, 1, "error", False)
     assert (states["db"].snapshot, states["db"].lag, states["db"].status) == (2, 0, "healthy")
@@ -146,6 +149,9 @@ def test_numbers_of_a_round(spark, tmp_path):
     names = ("cdc_rows_read_total", "cdc_orphaned_preimages_total", "cdc_routing_mutations_total", "cdc_conflicts_resolved_total", "dest_upsert_matched_total", "routing_errors_total", "snapshots_read")
     assert [said.numbers[k] for k in names] == [7, 1, 1, 1, 1, 0, 1] and said.numbers["cycle_seconds"] > 0
     assert held(spark, cfg) == {"da": [], "db": [(1, "b", 10), (3, "b", 31)]}
+    rows = {(r.metric, r.destination_id): r.value for r in replicate.round_metrics(spark, cfg, said).collect()}
+    assert rows["dest_rows_written_total", "db"] == 2 and rows["dest_lag_snapshots", "da"] == 0 and rows["source_snapshot_id", None] == 2
+    assert {m for m, _ in rows} == {*metrics.ROUND, *metrics.EACH}
     commit(spark, source, (9, "z", 1, "insert", 9))
     none = replicate.run_round(spark, cfg)
     assert none.numbers["unrouted_rows_total"] == none.numbers["cdc_rows_read_total"] == 1 and none.destinations["da"]["rows"] == 0
@@ -157,3 +163,36 @@ def test_key_columns_are_a_list(tmp_path):
         with pytest.raises(config.ConfigError):
             config.parse(good | {"routing": {"field": "f", "key_columns": bad}})
     assert config.parse(good | {"routing": {"field": "f", "key_columns": ["a", "b"]}}).key_columns == ("a", "b")
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[-1]
+
+
+def test_scans_begin_at_the_nearest_base(spark, tmp_path):
+    source, _ = made(spark, tmp_path)
+    commit(spark, source, (1, "a", 10, "insert", 1), (2, "a", 20, "insert", 2), (3, "b", 30, "insert", 3))
+    commit(spark, source, (1, "a", 10, "update_preimage", 1), (1, "b", 11, "update_postimage", 1), (2, "a", 20, "delete", 2))
+    commit(spark, source, (2, "a", 22, "insert", 2), (3, "b", 30, "delete", 3), (4, "a", 4, "insert", 4), (4, "a", 4, "delete", 4))
+    before = {n: sorted(map(tuple, source.scan(n).collect())) for n in (1, 2, 3)}
+    source.materialise(2)
+    source.materialise(2)
+    assert {n: sorted(map(tuple, source.scan(n).collect())) for n in (1, 2, 3)} == before
+    assert "snapshot_id#" in plan(source.scan(3)) and "(snapshot_id" in plan(source.scan(3)).split("PartitionFilters")[-1]
+    files = {f.split("/log/")[-1].split("/")[0] for f in source.scan(3).inputFiles() if "/log/" in f}
+    assert {"snapshot_id=3"} <= files and not [f for f in source.scan(2).inputFiles() if "/log/" in f]
+    assert "> 2)" in plan(source.scan(3))
+
+
+def test_last_write_wins_without_a_window(spark):
+    batch = spark.createDataFrame([(1, "a", 1, "insert", 1, 1), (1, "b", 2, "insert", 1, 2), (1, "c", 3, "delete", 9, 3), (None, "d", 4, "update_postimage", 2, 4)], "k int, v string, n int, change_type string, snapshot_id bigint, rowid bigint")
+    out = cdc.last_write_wins(batch, ["k"])
+    assert "Window" not in plan(out) and plan(out).count("Exchange") == 1
+    assert out.columns == batch.columns and sorted(r.v for r in out.collect()) == ["b", "d"]
+
+
+def test_health_by_age(spark):
+    rows = [(1, None, None), (2, 900.0, None), (3, 900.0, 500.0), (4, 900.0, 300.0), (5, 600.0, 600.0)]
+    df = spark.createDataFrame(rows, "id int, p double, r double").select("id", *(F.expr(f"timestamp_seconds({c})").alias(n) for c, n in (("p", "last_poll_at"), ("r", "last_replicated_at"))))
+    got = {r.id: (r.alive, r.ready) for r in cursors.health(df, F.expr("timestamp_seconds(1000)")).collect()}
+    assert got == {1: (False, False), 2: (True, True), 3: (True, True), 4: (True, False), 5: (False, False)}
