@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ ANCHORS = (
 CHAIN = 2
 #: Sets of one signature that give all their pairs; more give stars first.
 FEW = 16
+#: Small hashes by which sets are compared before whole sets are.
+RANGES = 2**16
 #: Which share of the texts tells what signatures are common, how often there, and how many; sets that are sent to all tasks by hash.
 SAMPLED, SEEN, COMMON, SENT = 32, 3, 2048, 500_000
 #: Documents of a range of ids; bounds that are looked up; most ranges.
@@ -74,17 +78,22 @@ def _commonest(docs: DataFrame) -> Column:
     return F.from_json(F.lit(str([r.h for r in reversed(found)])), "array<bigint>")
 
 
+def _hashes(signatures: str) -> Column:
+    return F.array_distinct(F.transform(signatures, lambda s: F.xxhash64(s)))
+
+
 def _prefixes(docs: DataFrame, least: float) -> DataFrame:
-    """One row (id, fingerprint, f, t, n, keys) for each row of docs: hashes of fingerprint and text, and of the first of n signatures.
+    """One row (id, fingerprint, f, t, n, keys, ranges) for each row of docs: hashes of fingerprint and text, of the first of n signatures, and small ones of all.
 
     In any one order of all signatures, similar sets share one of their first n - ceil(least * n) + 1; here the commonest
     come last.
     """
     common = _commonest(docs)
-    sets = docs.select("id", "text", spot_signatures("text").alias("signatures")).withColumn("h", F.array_distinct(F.transform("signatures", lambda s: F.xxhash64(s))))
+    sets = docs.select("id", "text", spot_signatures("text").alias("signatures")).withColumn("h", _hashes("signatures"))
     ordered = F.concat(F.sort_array(F.array_except("h", common)), F.array_intersect(common, "h"))
     n = F.size("h")
-    sets = sets.select("id", digest("signatures").alias("fingerprint"), F.xxhash64("text").alias("t"), n.alias("n"), F.slice(ordered, F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1).alias("keys"))
+    small = F.array_distinct(F.transform("h", lambda x: (F.pmod(x, F.lit(RANGES)) - RANGES // 2).cast("smallint")))
+    sets = sets.select("id", digest("signatures").alias("fingerprint"), F.xxhash64("text").alias("t"), n.alias("n"), F.slice(ordered, F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1).alias("keys"), small.alias("ranges"))
     return sets.withColumn("f", F.xxhash64("fingerprint"))
 
 
@@ -114,7 +123,7 @@ def _met(members: DataFrame, least: float, *columns: str) -> DataFrame:
 
 
 def _members(named: DataFrame, least: float) -> DataFrame:
-    """(s, slot, f, n, part, lo, hi, size) of each signature hash s of keys that several sets of like length have.
+    """(s, slot, f, n, part, size) of each signature hash s of keys that several sets of like length have.
 
     part is the set's length on a scale where similar sets are in one part or neighbouring ones. Rows of slots part and
     part + 1 let both meet; a pair counts in the greater one's slot alone.
@@ -124,10 +133,50 @@ def _members(named: DataFrame, least: float) -> DataFrame:
     part = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(least)) + 1e-9).cast("int")
     spread = each.join(shared, "s").withColumn("part", part).select("*", F.explode(F.array("part", F.col("part") + 1)).alias("slot"))
     spread = written(spread, "spots-spread")
-    groups = spread.groupBy("s", "slot").agg(F.min("f").alias("lo"), F.max("f").alias("hi"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    groups = spread.groupBy("s", "slot").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return written(spread.join(groups, ["s", "slot"]), "spots-members")
 
 
+def _parts(sets: DataFrame, crowded: DataFrame, least: float) -> DataFrame:
+    """(k, f): keys of parts that sets (f, signatures) of this likeness have in common, given their crowded prefix signatures (f, s).
+
+    Two such sets, the larger of n signatures, differ by d = 2 * n * (1 - least) / (1 + least) of them at most; cut by hash into d + 1 parts,
+    one part at least is equal (pigeonhole). A set is cut for its own range of sizes and for the next one. An empty part is
+    equal to any other empty one, so its key has a crowded signature besides, which similar sets that meet here share too.
+    """
+    step = -math.log(least)
+    size = F.floor(F.log(F.size("h").cast("double")) / step + 1e-9).cast("int")
+    most = F.floor(2 * (F.exp((F.col("slot") + 1) * step) * (1 + 1e-6) + 1) * (1 - least) / (1 + least)) + 1
+    each = sets.repartition("f").select("f", _hashes("signatures").alias("h")).filter(F.size("h") > 0)
+    each = each.select("f", "h", F.explode(F.array(size, size + 1)).alias("slot")).withColumn("most", most.cast("long"))
+    rows = each.select("f", "slot", "most", F.explode("h").alias("x")).withColumn("p", F.pmod("x", "most"))
+    full = written(rows.groupBy("f", "slot", "most", "p").agg(F.bit_xor(F.xxhash64("x")).alias("v"), F.count(F.lit(1)).alias("c")), "spots-parts")
+    holes = full.groupBy("f", "slot", "most").agg(F.collect_list("p").alias("ps"))
+    holes = holes.select("f", "slot", F.explode(F.array_except(F.sequence(F.lit(0).cast("long"), F.col("most") - 1), "ps")).alias("p"))
+    none = holes.join(crowded, "f").select(F.xxhash64(F.lit("none"), "slot", "p", "s").alias("k"), "f")
+    return full.select(F.xxhash64("slot", "p", "v", "c").alias("k"), "f").unionByName(none)
+
+
+def _may_be_alike(pairs: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) that counts (f, n, ranges: small hashes of the n signatures) allow: they share the small hashes that both have, and as many more as the lesser number of their signatures that fall together."""
+    one, two = (counts.select(F.col("f").alias(c), F.col("n").alias(f"n_{c}"), F.col("ranges").alias(f"ranges_{c}")) for c in "ab")
+    more = F.least(F.col("n_a") - F.size("ranges_a"), F.col("n_b") - F.size("ranges_b"))
+    shared = F.size(F.array_intersect("ranges_a", "ranges_b")) + more
+    return pairs.join(one, "a").join(two, "b").filter(shared >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9).select("a", "b")
+
+
+def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components of members (k, f) of large groups; of groups with the same members one is taken, and the commonest component's rows meet the others' alone."""
+    rooted = written(large.select("k", "f").join(roots, "f", "left").withColumn("root", F.coalesce("root", "f")), "spots-rooted")
+    groups = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("c"), F.bit_xor("f").alias("x"), F.bit_xor(F.xxhash64("f")).alias("y")).filter("least <> most")
+    groups = groups.groupBy("c", "x", "y").agg(F.min("k").alias("k")).select("k")
+    top = rooted.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.max(F.struct("c", "root")).alias("top"))
+    rows = written(rooted.join(groups.join(top, "k").select("k", F.col("top.root").alias("top")), "k"), "spots-apart")
+    one = rows.filter("root <> top").select("k", F.col("f").alias("a"), F.col("root").alias("root_a"))
+    two = rows.select("k", F.col("f").alias("b"), F.col("root").alias("root_b"), "top")
+    return one.join(two, "k").filter("root_a <> root_b and (a < b or root_b = top)").select("a", "b").distinct()
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
     """One row for each row of docs: (id_col, fingerprint, component: the smallest id that links reach).
 
@@ -136,13 +185,15 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     and a component without any id has none; equal ids are rows of their own; other columns are left out; an empty table
     gives none. Sets are partitioned by length and meet over one of the first of their signatures (see _prefixes()). Groups of a
     signature up to FEW give their pairs, which a bound on what sets can still share prunes: the first signatures that both
-    have, the lesser count of crowded ones and the greater rest. Larger groups give stars to their first and last set; after
-    that only sets of components that are still apart meet in them. Jaccard of whole sets decides every link. Sets, texts and
+    have, the lesser count of crowded ones and the greater rest. Sets of larger groups meet over parts of whole sets instead
+    (see _parts()), which unlike sets seldom share however common their signatures are: groups of a part up to FEW give
+    their pairs, larger ones stars to their first set; after that only sets of components that are still apart meet in
+    them. These pairs are sifted by small hashes, and Jaccard of whole sets decides every link. Sets, texts and
     signatures find each other by 64-bit hashes. docs is read up to four times.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = written(_prefixes(docs, least), "spots-rows")
-    named = written(rows.groupBy("f").agg(F.min("id").alias("lowest"), F.min("t").alias("t"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")), "spots-named")
+    named = written(rows.groupBy("f").agg(F.min("id").alias("lowest"), F.min("t").alias("t"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("ranges").alias("ranges")), "spots-named")
     members = _members(named, least)
     crowded = members.filter(F.col("size") > FEW)
     hot = crowded.groupBy("f").agg(F.count_distinct("s").alias("hot"))
@@ -150,14 +201,23 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     shared = _met(few, least, "hot").groupBy("a", "b", "n_a", "n_b", "hot_a", "hot_b").agg(F.count(F.lit(1)).alias("c"))
     most = F.col("c") + F.least("hot_a", "hot_b") + F.ceil(F.greatest("n_a", "n_b") * least - 1e-9) - 1
     likely = shared.filter(most >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9).select("a", "b")
-    ends = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("f").alias("b")), F.struct(F.col("f").alias("a"), F.col("hi").alias("b")))).alias("e")
-    near = written(_verified(likely.unionByName(crowded.select(ends).select("e.a", "e.b").filter("a < b")), docs, named, least), "spots-near")
-    if not crowded.isEmpty():
+    met = likely
+    if many := not crowded.isEmpty():
+        each = written(crowded.select("f", "s").distinct(), "spots-crowded")
+        sets = written(_sets(docs, written(named.join(each.select("f").distinct(), "f", "left_semi").select("f", "t"), "spots-wanted")), "spots-sets")
+        cut = _parts(sets, each, least)
+        sizes = cut.groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.min("f").alias("lo")).filter("size > 1")
+        cut = written(cut.join(sizes, "k"), "spots-cut")
+        few, large = cut.filter(F.col("size") <= FEW), cut.filter(F.col("size") > FEW)
+        ids = few.groupBy("k").agg(F.array_sort(F.collect_set("f")).alias("ids")).select("ids").distinct()
+        both = ids.select(F.explode(F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")).alias("e")).select("e.a", "e.b")
+        star = large.groupBy("f").agg(F.min("lo").alias("lo")).filter("lo < f").select(F.col("lo").alias("a"), F.col("f").alias("b"))
+        met = likely.unionByName(both).unionByName(star)
+    counts = named.select("f", "n", "ranges")
+    near = written(_verified(_may_be_alike(met.distinct(), counts, least), docs, named, least), "spots-near")
+    if many and not large.isEmpty():
         roots = written(components(near), "spots-roots").withColumnRenamed("a", "f")
-        rooted = crowded.join(roots, "f", "left").withColumn("root", F.coalesce("root", "f"))
-        apart = rooted.groupBy("s", "slot").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("s", "slot")
-        met = _met(written(rooted.join(apart, ["s", "slot"], "left_semi"), "spots-apart"), least, "root").filter("root_a <> root_b")
-        near = near.unionByName(_verified(met, docs, named, least))
+        near = near.unionByName(_verified(_may_be_alike(_across(large, roots), counts, least), docs, named, least))
     roots = written(components(near), "spots-roots").withColumnRenamed("a", "f")
     placed = named.select("f", "lowest").join(roots, "f", "left").withColumn("root", F.coalesce("root", "f"))
     lowest = placed.groupBy("root").agg(F.min("lowest").alias("component"))
