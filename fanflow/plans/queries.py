@@ -528,6 +528,19 @@ def poll_cycle(spark, sf_dir):
     return _held(spark, cfg)
 
 
+@_query(_with(_state("s", 9)) + "SELECT event_id, company, val, destination_id FROM s")
+def stream_pairing(spark, sf_dir):
+    """A stream of the change log, a few files in each batch, paired by state into a log of resolved changes; that log's rows then."""
+    from fanflow.streaming.pairing import log_resolved
+
+    source = _lake(spark, sf_dir)[1]
+    out = LakeTable.create(spark, f"{source.path}-resolved", source.schema)
+    schema = source.log().schema
+    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{source.path}/log")
+    log_resolved(changes, "company", _KEYS, out, f"{shared_folder(spark)}/pairing-{uuid.uuid4().hex}").awaitTermination()
+    return routing.route(out.scan(), "company", DESTINATIONS)
+
+
 @_query(_with(_state("s", 9)) + "SELECT * FROM s")
 def poll_cycle_stream(spark, sf_dir):
     from fanflow.streaming.trigger import replicate as stream

@@ -101,12 +101,12 @@ class LakeTable:
     def insertions(self, start: int, end: int) -> DataFrame:
         return self.changes(start, end).filter(F.col("change_type") == cdc.INSERT)
 
-    def commit_changes(self, changes: DataFrame) -> int:
-        """One snapshot of changes (user columns, change_type, rowid)."""
+    def commit_changes(self, changes: DataFrame, cursor: dict | None = None) -> int:
+        """One snapshot of changes (user columns, change_type, rowid), and the cursor with it."""
         m = self.manifest()
         snapshot = (m["snapshot"] or 0) + 1
         cdc.normalise(changes).select(*self.schema.names, "change_type", "rowid").write.mode("overwrite").parquet(f"{self.path}/log/snapshot_id={snapshot}")
-        self._commit(m | {"snapshot": snapshot, "logs": [*m["logs"], snapshot]})
+        self._commit(m | {"snapshot": snapshot, "logs": [*m["logs"], snapshot], "cursor": m["cursor"] | (cursor or {})})
         return snapshot
 
     def scan(self, snapshot: int | None = None) -> DataFrame:
