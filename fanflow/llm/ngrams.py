@@ -231,3 +231,18 @@ def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns for all documents: doc_id, n_shingles, component_id."""
     found = jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM t),
+f AS (SELECT r, id, s, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS fp FROM s),
+c AS (SELECT fp, any_value(s) AS s, any_value(n) AS n, min(id) AS least FROM f WHERE n > 0 GROUP BY fp),
+x AS (SELECT fp, n, unnest(s) AS g FROM c),
+l AS (SELECT a.fp AS a, b.fp AS b FROM x a JOIN x b ON a.g = b.g AND a.fp <> b.fp AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+      GROUP BY a.fp, b.fp, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT fp AS a, fp AS b FROM c UNION SELECT e.a, l.b FROM e JOIN l ON l.a = e.b),
+m AS (SELECT e.a, min(c.least) AS component_id FROM e JOIN c ON c.fp = e.b GROUP BY e.a)
+SELECT f.id AS doc_id, f.n AS n_shingles, CASE WHEN f.n = 0 THEN f.id ELSE m.component_id END AS component_id FROM f LEFT JOIN m ON m.a = f.fp
+"""

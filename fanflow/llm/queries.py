@@ -5,8 +5,8 @@ from fanflow.llm.decontaminate import OP5_SQL, op5_decontaminate
 from fanflow.llm.hmm import op9_hmm
 from fanflow.llm.language import op7_language_id
 from fanflow.llm.mixing import op3_mixing
-from fanflow.llm.negatives import op12_hard_negatives
-from fanflow.llm.ngrams import op13_ngram_join
+from fanflow.llm.negatives import OP12_SQL, op12_hard_negatives
+from fanflow.llm.ngrams import OP13_SQL, op13_ngram_join
 from fanflow.llm.quality import op2_quality
 from fanflow.llm.quotes import op8_quotes
 from fanflow.llm.simhash import op10_simhash
@@ -30,4 +30,4 @@ QUERIES = {
     "op13_ngram_join": op13_ngram_join,
     "spotsigs_similar": spotsigs_similar,
 }
-ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL, "spotsigs_similar": SIMILAR_SQL}
+ORACLES = {"op4_spotsigs": OP4_SQL, "op5_decontaminate": OP5_SQL, "op12_hard_negatives": OP12_SQL, "op13_ngram_join": OP13_SQL, "spotsigs_similar": SIMILAR_SQL}
