@@ -16,8 +16,8 @@ from fanflow.llm.common import written
 WEIGHTS = (5, 2, 1)
 #: Most repeats of a source's words.
 MOST = 3
-#: Documents of a block of the flight phase; rows of a source table that is sent to every task.
-BLOCK, SMALL_TABLE = 4096, 100_000
+#: Documents of a block of the flight phase; rows of a source table that is sent to every task, and bytes of its names.
+BLOCK, SMALL_TABLE, SMALL_NAMES = 4096, 100_000, 20_000_000
 #: Units of a source's last block that wait for the landing phase.
 LANDING = 16
 _NEAR = 1e-9
@@ -33,24 +33,43 @@ def row_hash(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col)))
 
 
+def _before(rows: DataFrame, order: tuple[Column, ...], *sums: str) -> DataFrame:
+    """rows with, for each of these columns, its sum over all rows before in this order (before_<column>, 0 for the first row).
+
+    Rows, which must differ in their order, are dealt by ranges; a task sorts and adds up its own range, and only the sums of
+    whole ranges, one row for each partition, are added up in one place.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    ranges = dealt.groupBy("range").agg(*(F.sum(c).alias(f"all_{c}") for c in sums))
+    ranges = ranges.select("range", *(total(f"all_{c}", earlier(Window.orderBy("range"))).alias(f"upto_{c}") for c in sums))
+    own = earlier(Window.partitionBy("range").orderBy(*order))
+    out = dealt.withColumns({f"before_{c}": total(c, own) for c in sums}).join(F.broadcast(ranges), "range")
+    return out.withColumns({f"before_{c}": F.col(f"before_{c}") + F.col(f"upto_{c}") for c in sums}).drop("range", *(f"upto_{c}" for c in sums))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """(source, n, source_size, target) from rows (source, size: long).
 
     Sources in code point order, null last, take the weights in turn and share the sum of all sizes by weight; no target
     exceeds most times its source's size, and what is over goes to the others by weight. In closed form: with sources
     by limit over weight, those before the first whose share of the rest is within its limit stay at their limits.
-    Only the table of sources, which is aggregated first, is sorted as a whole. Sizes of 0 give targets of 0.
+    Places and sums come from ranges of the table of sources, which is aggregated first: no task holds all sources,
+    though each document may have its own. Sizes of 0 give targets of 0.
     """
-    total = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (rank % len(weights) + 1).cast("int"))
-    t = total.withColumn("w", weight).withColumn("cap", F.col("source_size") * float(most)).withColumn("r", F.col("cap") / F.col("w"))
-    rising = Window.orderBy("r", F.col("source").asc_nulls_last())
-    all_rows = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    capped = F.coalesce(F.sum("cap").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    t = t.withColumn("level", (F.sum("source_size").over(all_rows) - capped) / F.sum("w").over(rising.rowsBetween(0, Window.unboundedFollowing)))
-    t = t.withColumn("level", F.min_by(F.when(F.col("level") <= F.col("r"), F.col("level")), F.when(F.col("level") <= F.col("r"), F.col("r"))).over(all_rows))
-    return t.select("source", "n", "source_size", F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap"))).alias("target"))
+    by_name = F.col("source").asc_nulls_last()
+    total = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size")).withColumn("one", F.lit(1).cast("long"))
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("before_one") % len(weights) + 1).cast("int"))
+    t = _before(total, (by_name,), "one").select("source", "n", "source_size", weight.alias("w"), (F.col("source_size") * float(most)).alias("cap"))
+    t = _before(t.withColumn("r", F.col("cap") / F.col("w")), (F.col("r").asc(), by_name), "cap", "w")
+    t = written(t, "mix-sources")
+    size, share = t.agg(F.sum("source_size"), F.sum("w")).first()
+    level = (F.lit(float(size or 0)) - F.col("before_cap")) / (F.lit(share or 0.0) - F.col("before_w"))
+    within = t.select("r", level.alias("level")).filter("level <= r")
+    found = within.agg(F.min(F.struct("r", (-F.col("level")).alias("down"))).alias("first")).select("first.down").first().down
+    target = F.col("cap") if found is None else F.least("cap", F.lit(-found) * F.col("w"))
+    return t.select("source", "n", "source_size", target.alias("target"))
 
 
 class Flight:
@@ -161,8 +180,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     base = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), (row_hash(id_col, text_col) if key is None else key).alias("hash"))
     sizes = written(base, "mix-sizes")
     goal = written(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "of")
-    sources, largest = goal.agg(F.count(F.lit(1)), F.max("n")).first()
-    goal = F.broadcast(goal) if sources <= SMALL_TABLE else goal
+    sources, largest, names = goal.agg(F.count(F.lit(1)), F.max("n"), F.coalesce(F.sum(F.octet_length("of")), F.lit(0))).first()
+    goal = F.broadcast(goal) if sources <= SMALL_TABLE and names <= SMALL_NAMES else goal
     rows = sizes.join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     rows = rows.withColumn("whole", F.floor(F.col("ratio") + _NEAR)).withColumn("p", F.greatest(F.lit(0.0), F.col("ratio") - F.col("whole")))
     unit = F.struct("id", "source", "size", "source_size", "target", "hash", "whole").alias("row")
