@@ -186,3 +186,17 @@ class LakeTable:
             return self.spark.createDataFrame([(0, 0, 0)], "files bigint, bytes bigint, delete_bytes bigint")
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(at).select("path", "length")
         return listed.agg(F.count("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.lit(0).cast("bigint").alias("delete_bytes"))
+
+    def file_stats(self, start: int = 0, end: int | None = None) -> DataFrame:
+        """(snapshot_id, files, bytes, rows, delete_rows) of the change files of each snapshot after start up to end (the current one by default).
+
+        Each file is described by its own rows, so the listing is that of the scan and only the folders of these snapshots
+        are read. delete_rows are deletes and preimages. Snapshots without rows have no row.
+        """
+        log = self.log()
+        if not self.manifest()["logs"]:
+            return log.select("snapshot_id", *(F.lit(0).cast("bigint").alias(c) for c in ("files", "bytes", "rows", "delete_rows"))).limit(0)
+        rows = cdc.in_range(log.select("snapshot_id", "change_type", "_metadata.file_path", "_metadata.file_size"), start, self.current_snapshot() if end is None else end)
+        gone = F.count_if(F.col("change_type").isin(cdc.DELETE, cdc.PRE))
+        each = rows.groupBy("snapshot_id", "file_path").agg(F.max("file_size").alias("size"), F.count(F.lit(1)).alias("n"), gone.alias("gone"))
+        return each.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.sum("n").alias("rows"), F.sum("gone").alias("delete_rows"))

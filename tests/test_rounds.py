@@ -196,3 +196,23 @@ def test_health_by_age(spark):
     df = spark.createDataFrame(rows, "id int, p double, r double").select("id", *(F.expr(f"timestamp_seconds({c})").alias(n) for c, n in (("p", "last_poll_at"), ("r", "last_replicated_at"))))
     got = {r.id: (r.alive, r.ready) for r in cursors.health(df, F.expr("timestamp_seconds(1000)")).collect()}
     assert got == {1: (False, False), 2: (True, True), 3: (True, True), 4: (True, False), 5: (False, False)}
+
+
+def test_file_stats_match_the_files_on_disk(spark, tmp_path):
+    """Files, bytes and rows of each snapshot, from the scan's own metadata, against a listing of the folders."""
+    import pyarrow.parquet as pq
+
+    table = LakeTable.create(spark, f"{tmp_path}/t", spark.createDataFrame([], "k long, v string").schema)
+    assert table.file_stats().collect() == []
+    kinds = ("insert", "delete", "update_preimage", "update_postimage")
+    for n in range(1, 4):
+        rows = [(k, "x" * k, kinds[k % 4 if n > 1 else 0], k) for k in range(20 * n)]
+        table.commit_changes(spark.createDataFrame(rows, "k long, v string, change_type string, rowid long").repartition(n + 1))
+    found = {x.snapshot_id: x for x in table.file_stats().collect()}
+    assert set(found) == {1, 2, 3}
+    for n, x in found.items():
+        files = [f for f in (tmp_path / f"t/log/snapshot_id={n}").glob("*.parquet") if pq.read_metadata(f).num_rows]
+        assert (x.files, x.bytes, x.rows) == (len(files), sum(f.stat().st_size for f in files), 20 * n)
+        assert x.files == n + 1 and x.delete_rows == (0 if n == 1 else 10 * n)
+    assert {x.snapshot_id for x in table.file_stats(1, 2).collect()} == {2}
+    assert "PartitionFilters: [isnotnull(snapshot_id" in table.file_stats(1, 2)._jdf.queryExecution().executedPlan().toString()
