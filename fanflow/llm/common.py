@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1_000_000
 
 _own_dir: list[str] = []
+#: Tables written inside settled(), by thread: runs side by side don't see each other's.
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,10 +38,36 @@ def written(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(by) if by else df.write
+    if (on_the_way := _tables.get()) is not None:
+        on_the_way.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], tag: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows of make() as a table of their own, and what deletes it. Tables that make() wrote on the way are deleted: its result no longer reads them.
+
+    If make() fails, its tables stay for whoever looks into it.
+    """
+    tables: list[str] = []
+    outer = _tables.set(tables)
+    try:
+        made = make()
+        out = written(made, tag)
+    finally:
+        _tables.reset(outer)
+    spark = made.sparkSession
+
+    def drop(path: str) -> None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    *on_the_way, path = tables
+    for p in on_the_way:
+        drop(p)
+    return out, lambda: drop(path)
+
+
 def crc_mod(col: str, n: int):
     """crc32 of the id as text, modulo n (null ids count as the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % n
