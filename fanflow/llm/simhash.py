@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -11,24 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fanflow.llm.common import mix64, pieces, ragged, signed, written
+from fanflow.llm.common import written
 from fanflow.llm.components import components
-from fanflow.llm.decontaminate import shingles
+from fanflow.llm.sets import distinct_sets, join_links, named, prefixes
 
 #: Bits of the fingerprint, and the parts it is cut into; pairs at distance d agree on PARTS - d parts at least.
 BITS, PARTS = 64, 4
 #: Block groups up to this size are compared pair by pair; larger ones take the path by one-bit neighbours.
 PAIRWISE = 1500
-#: Groups of one shingle up to this size give their pairs; larger ones a star first, then only what it left apart.
-FEW = 32
-#: Every so many-th text is searched for common shingles, those of SEEN texts at least, and COMMON of them at most.
-SAMPLED, SEEN, COMMON = 32, 3, 500_000
-#: Buckets in which the shingles of a set are counted, for sets of up to COUNTED.
-BUCKETS, COUNTED = 256, 1_000_000
-#: Keys of sets that one broadcast may hold (about 100 MB).
-SENT = 1_500_000
-#: Shingle sets of a part of a large group, and about as many shingles.
-PART_ROWS, PART_SHINGLES = 1024, 4_000_000
 
 
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
@@ -134,268 +124,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = written(fingerprints(docs, id_col, text_col, words, seed), "simhash-fp")
     distinct = written(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    return _named(fps, distinct, components(links(distinct, distance))).withColumnRenamed("id", id_col)
-
-
-def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
-    """Of batches with a text: (slice, shingle hashes by text in ascending order without repeats, offsets, key of each set)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for b, data, offsets in pieces(batches, "text"):
-            h, runs = shingles(data, offsets, words, False)
-            text = np.repeat(np.arange(b.num_rows), runs)
-            for t in np.flatnonzero(runs == 0):
-                short, _ = shingles(data[offsets[t] : offsets[t + 1]], np.array([0, offsets[t + 1] - offsets[t]]), words, True)
-                h, text = np.append(h, short), np.append(text, np.full(len(short), t))
-            order = np.lexsort((h, text))
-            h, text = h[order], text[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-            h, text = h[new], text[new]
-            n = np.bincount(text, minlength=b.num_rows)
-            ends = np.cumsum(n)
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h + np.uint64(1)), dtype=np.uint64)])
-            yield b, h, np.concatenate([[0], ends]), mix64(total[ends] - total[ends - n] + n.astype(np.uint64))
-
-    return run
-
-
-def _common(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of many documents, ascending, and their counts: those of SEEN or more of every SAMPLED-th text. They only order the shingles, so none need be found."""
-    sets = _sets(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h, _, _ in sets(batches):
-            yield pa.RecordBatch.from_arrays([signed(h)], ["h"])
-
-    some = docs.select(F.col(text_col).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
-    often = some.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= SEEN)
-    found = often.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
-    h, c = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
-    order = np.argsort(h)
-    return h[order], c[order]
-
-
-def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness: float) -> DataFrame:
-    """One row (id, fp: long key of the shingle set, n, keys, counts) for each row of docs: keys are the first shingles of the set.
-
-    In any one order of all shingles, two sets of likeness 0.8 have one of their first n - ceil(0.8 n) + 1 in common;
-    here the commoner ones come last. counts has the shingles by bucket of their hash. Texts of fewer words are one shingle; texts without words have none, and one fp.
-    """
-    kind = docs.schema[id_col].dataType.simpleString()
-    sets, (common, often) = _sets(words), _common(docs, text_col, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, h, cut, fp in sets(batches):
-            n = np.diff(cut)
-            text, place = ragged(n)
-            late = np.zeros(len(h), np.int64)
-            if len(common) and len(h):
-                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                late = np.where(common[at] == h, often[at], 0)
-            ordered = h[np.lexsort((h, late, text))]
-            first = np.where(n > 0, n - np.ceil(likeness * n - 1e-9).astype(np.int64) + 1, 0)
-            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), signed(ordered[place < first[text]]))
-            spread = np.concatenate([np.bincount((h[s:e] % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS) for s, e in zip(cut[:-1], cut[1:], strict=True)])
-            counts = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BUCKETS), pa.array(np.minimum(spread, 32767).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), signed(fp), pa.array(n), keys, counts], ["id", "fp", "n", "keys", "counts"])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, n bigint, keys array<bigint>, counts array<smallint>")
-
-
-def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
-    """(fp, hashes: all shingles, ascending) of the sets with a key in wanted (fp, distinct)."""
-    sets = _sets(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h, cut, fp in sets(batches):
-            yield pa.RecordBatch.from_arrays([signed(fp), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), signed(h))], ["fp", "hashes"])
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "fp long, hashes array<bigint>")
-    return found.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "fp", "left_semi").dropDuplicates(["fp"])
-
-
-def _alike(shared, n, m, likeness: float):
-    """Whether sets of n and m shingles with so many in common have a Jaccard likeness this large."""
-    return shared >= likeness * (n + m - shared) - 1e-9
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
-    """Those pairs (a, b) whose shingle sets have this Jaccard likeness."""
-    one, two = (sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return pairs.select("a", "b").join(one, "a").join(two, "b").filter(_alike(shared, F.size("set_a"), F.size("set_b"), likeness)).select("a", "b")
-
-
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-
-def _by_cell(close: Callable[[list[tuple]], pa.RecordBatch], columns: tuple[str, ...]):
-    """Rows sorted by group and pair of parts, given to close() for each pair: the columns, counts and hashes as arrays."""
-
-    def value(c: str, x: pa.Scalar):
-        return x.values.to_numpy().view(np.uint64) if c == "hashes" else x.values.to_numpy() if c == "counts" else x.as_py()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for b in batches:
-            for k, i, j, *row in zip(*(b.column(c) for c in ("k", "i", "j", *columns)), strict=True):
-                here = (k.as_py(), i.as_py(), j.as_py())
-                if here != key:
-                    if held:
-                        yield close(held)
-                    key, held = here, []
-                held.append(tuple(map(value, columns, row)))
-        if held:
-            yield close(held)
-
-    return run
-
-
-class _Cell:
-    """Rows of a pair of parts: who may be like whom, by sizes and counts of shingles in buckets, across components."""
-
-    def __init__(self, held: list[tuple], likeness: float):
-        self.ids, self.roots, self.n = (np.array([x[k] for x in held]) for k in (0, 1, 2))
-        self.counts, self.likeness = np.stack([x[3] for x in held]).astype(np.int32), likeness
-
-    def near(self, at: int, some: np.ndarray) -> np.ndarray:
-        """Those of the rows some that can have this likeness with row at, the likeliest first."""
-        some = some[_alike(np.minimum(self.n[some], self.n[at]), self.n[some], self.n[at], self.likeness)]
-        most = np.minimum(self.counts[some], self.counts[at]).sum(1)
-        fits = (np.maximum(self.n[some], self.n[at]) > COUNTED) | _alike(most, self.n[some], self.n[at], self.likeness)
-        return some[fits][np.argsort(-(most / (self.n[some] + self.n[at]))[fits], kind="stable")]
-
-    def apart(self) -> Iterator[int]:
-        """Rows of all components but the commonest: its rows are met as the others' partners."""
-        names, counts = np.unique(self.roots, return_counts=True)
-        for name in names[np.argsort(counts, kind="stable")][:-1]:
-            yield from np.flatnonzero(self.roots == name)
-
-
-def _may_meet(likeness: float):
-    """Links (a, b) that span the rows which may be alike across components in each pair of parts."""
-
-    def close(held: list[tuple]) -> pa.RecordBatch:
-        cell, label, found = _Cell(held, likeness), np.arange(len(held)), []
-        for at in list(cell.apart()):
-            near = cell.near(at, np.flatnonzero(cell.roots != cell.roots[at]))
-            for name in np.setdiff1d(label[near], label[at]):
-                found.append((cell.ids[at], cell.ids[name]))
-                label[label == name] = label[at]
-        return _edges(found)
-
-    return _by_cell(close, ("fp", "root", "n", "counts"))
-
-
-def _across(likeness: float):
-    """Links (a, b) that join the components in each pair of parts, by exact likeness of whole sets."""
-
-    def close(held: list[tuple]) -> pa.RecordBatch:
-        cell, sets, found = _Cell(held, likeness), [x[4] for x in held], []
-        for at in list(cell.apart()):
-            x = sets[at]
-            for to in cell.near(at, np.flatnonzero(cell.roots != cell.roots[at])):
-                if cell.roots[to] != cell.roots[at]:
-                    y = sets[to]
-                    if _alike(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()), len(x), len(y), likeness):
-                        found.append((cell.ids[at], cell.ids[to]))
-                        cell.roots[cell.roots == cell.roots[at]] = cell.roots[to]
-        return _edges(found)
-
-    return _by_cell(close, ("fp", "root", "n", "counts", "hashes"))
-
-
-def _dealt(rooted: DataFrame) -> DataFrame:
-    """(k, i, j, fp, root) from (k, fp, n, root): each group of several components is cut into parts, and rows go to pairs of parts.
-
-    The rows of the commonest component meet all others, but not one another: with m other rows and d of its own, about
-    d * (m / PART_ROWS + 1) + m * ((m + d) / PART_ROWS + 1) rows are made, in proportion to the group while m is small.
-    """
-    whole = rooted.groupBy("k").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("c"), F.bit_xor("fp").alias("x"), F.bit_xor(F.xxhash64("fp")).alias("y"), F.sum("n").alias("all")).filter("least <> most")
-    apart = whole.groupBy("c", "x", "y").agg(F.min(F.struct("k", "all")).alias("one")).select("one.*", F.col("c").alias("size"))  # one of the groups with the same members
-    top = rooted.groupBy("k", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("k").agg(F.max(F.struct("c", "root")).alias("top"))
-    groups = written(apart.join(top, "k"), "simhash-apart")
-    parts = lambda rows: F.ceil(F.greatest(rows / PART_ROWS, F.col("all") * rows / F.col("size") / PART_SHINGLES))
-    rest = rooted.select("k", "fp", "root").join(groups, "k").withColumn("pd", parts(F.col("top.c"))).withColumn("pm", parts(F.col("size") - F.col("top.c")))
-    own, h = F.col("root") == F.col("top.root"), F.xxhash64("fp")
-    part = F.when(own, F.col("pm") + F.pmod(h, "pd")).otherwise(F.pmod(h, "pm"))
-    to = F.when(own, F.col("pm")).otherwise(F.col("pm") + F.col("pd")) - 1
-    cells = F.transform(F.sequence(F.lit(0).cast("long"), to), lambda x: F.struct(F.least(x, "part").alias("i"), F.greatest(x, "part").alias("j")))
-    return rest.withColumn("part", part).select("k", "fp", "root", F.explode(cells).alias("ij")).select("k", "ij.i", "ij.j", "fp", "root")
-
-
-def _cells(dealt: DataFrame, *columns: str) -> DataFrame:
-    return dealt.select("k", "i", "j", *columns).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-
-
-def set_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, likeness: float = 0.8) -> DataFrame:
-    """Edges (a, b) that connect exactly the shingle sets of distinct (fp, n, keys, counts) that chains of pairs of this likeness connect.
-
-    Near sets share one of their keys (see prefixes()), and all candidates are verified by their whole sets. Groups of a key
-    up to FEW give their pairs. A pair that shares c keys can have at most c + max(n - keys) shingles in common (keys of
-    larger groups count as shared), and in each bucket at most the lesser count: neither bound loses a near pair, and
-    they spare most others the check. Larger groups give a star to their least member,
-    and after that only members of components that are still apart are compared, in pairs of parts of PART_ROWS rows, so
-    that no task compares a whole group: first by sizes and buckets, then, in the groups of those that may be alike, by
-    whole sets. Each pair of parts gives spanning links alone. Group sizes are combined before the shuffle.
-    """
-    keyed = distinct.select("fp", "n", F.explode("keys").alias("k"))
-    groups = keyed.groupBy("k").agg(F.min("fp").alias("lo"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(keyed.join(groups, "k"), "simhash-members")
-    listed = members.filter(F.col("size") <= FEW).groupBy("k").agg(F.array_sort(F.collect_list("fp")).alias("ids")).groupBy("ids").agg(F.count(F.lit(1)).alias("c"))
-    each = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")
-    some = listed.select(F.explode(each).alias("e"), "c").groupBy("e.a", "e.b").agg(F.sum("c").alias("c"))
-    crowded = members.filter(F.col("size") > FEW)
-    hot = crowded.groupBy("fp").agg(F.count(F.lit(1)).alias("hot"))
-    facts = distinct.select("fp", "n", (F.col("n") - F.size("keys")).alias("rest")).join(hot, "fp", "left").na.fill(0, ["hot"])
-    one, two = (facts.select(F.col("fp").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "rest", "hot"))) for c in "ab")
-    most = F.least(F.col("c") + F.least("hot_a", "hot_b") + F.greatest("rest_a", "rest_b"), "n_a", "n_b")
-    star = crowded.filter(F.col("fp") != F.col("lo")).select(F.col("lo").alias("a"), F.col("fp").alias("b"), F.lit(0).cast("long").alias("c")).distinct()
-    likely = some.unionByName(star).groupBy("a", "b").agg(F.sum("c").alias("c"))
-    likely = written(likely.join(one, "a").join(two, "b").filter(_alike(most, F.col("n_a"), F.col("n_b"), likeness)).select("a", "b", "n_a", "n_b"), "simhash-likely")
-    one, two = (distinct.select(F.col("fp").alias(c), F.col("counts").alias(f"counts_{c}")) for c in "ab")
-    most = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-    close = (F.greatest("n_a", "n_b") > COUNTED) | _alike(most, F.col("n_a"), F.col("n_b"), likeness)
-    pairs = written(likely.join(one, "a").join(two, "b").filter(close).select("a", "b"), "simhash-pairs")
-    wanted = written(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct(), "simhash-wanted")
-    sets = written(shingle_sets(docs, wanted, text_col, words), "simhash-sets")
-    near = written(_verified(pairs, sets, likeness), "simhash-near")
-    if crowded.isEmpty():
-        return near
-    roots = written(components(near), "simhash-roots").withColumnRenamed("a", "fp")
-    rooted = lambda rows: rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    facts = distinct.select("fp", "n", "counts")
-    dealt = _dealt(written(rooted(crowded.select("k", "fp", "n")), "simhash-crowded")).join(facts, "fp")
-    met = written(_cells(dealt, "fp", "root", "n", "counts").mapInArrow(_may_meet(likeness), "a long, b long"), "simhash-met")
-    group = written(components(met), "simhash-groups").select(F.col("a").alias("fp"), F.col("root").alias("k"))
-    sets = written(shingle_sets(docs, written(group.select("fp"), "simhash-wanted"), text_col, words).join(facts, "fp"), "simhash-sets")
-    dealt = _dealt(written(rooted(group.join(facts.select("fp", "n"), "fp")), "simhash-crowded")).join(sets, "fp")
-    across = written(_cells(dealt, "fp", "root", "n", "counts", "hashes").mapInArrow(_across(likeness), "a long, b long"), "simhash-across")
-    return roots.select(F.col("fp").alias("a"), F.col("root").alias("b")).unionByName(across)
+    return named(fps, distinct, components(links(distinct, distance))).withColumnRenamed("id", id_col)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, likeness: float = 0.8) -> DataFrame:
     """One row for each row of docs: (id_col, fp: long key of the shingle set, component: the smallest id that links reach).
 
     Documents whose sets of five-word shingles have a Jaccard likeness of 0.8 or more link, all of them and no others:
-    candidates come from an exact prefix filter and are verified by their whole sets (shingles and sets are told apart by
-    64-bit hashes). Texts without words link with each other only. Null ids, equal ids and other columns are as in
-    near_duplicates(). docs is read up to four times.
+    candidates come from an exact prefix filter and are verified by their whole sets (see sets.join_links(); shingles and
+    sets are told apart by 64-bit hashes). Texts without words link with each other only. Null ids, equal ids and other
+    columns are as in near_duplicates(). docs is read up to four times.
     """
     rows = written(prefixes(docs, id_col, text_col, words, likeness), "simhash-prefixes")
-    distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts")), "simhash-distinct")
-    return _named(rows.select("id", "fp"), distinct.select("fp", "least"), components(set_links(distinct, docs, text_col, words, likeness))).withColumnRenamed("id", id_col)
-
-
-def _named(rows: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """(id, fp, component) of rows (id, fp), from distinct fingerprints (fp, least id) and the components (a, root) of their links."""
-    roots = written(roots, "simhash-roots").withColumnRenamed("a", "fp")
-    by_root = distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("lowest"))
-    moved = roots.join(by_root, "root").select("fp", "lowest")
-    named = distinct.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "least").alias("component"))
-    return rows.join(named, "fp").select("id", "fp", "component")
+    distinct = written(distinct_sets(rows), "simhash-distinct")
+    roots = components(join_links(distinct, docs, text_col, words, likeness))
+    return named(rows.select("id", "fp"), distinct.select("fp", "least"), roots).withColumnRenamed("id", id_col)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

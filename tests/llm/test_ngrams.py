@@ -4,9 +4,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from test_operators import none, odd, words
 
-from fanflow.llm import ngrams
+from fanflow.llm import ngrams, sets, simhash
 
 
 def brute(rows, likeness=0.9, size=3):
@@ -54,7 +55,7 @@ def test_join_matches_brute_force(spark):
 
 
 def test_crowded_groups_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ngrams, "FEW", 2)
+    monkeypatch.setattr(sets, "FEW", 2)
     rows = corpus(random.Random(3), 260)
     assert found(spark, rows) == brute(rows)
     r = random.Random(4)  # copies in long chains: the first is unlike the last, and the groups are large
@@ -68,8 +69,8 @@ def test_crowded_groups_match_brute_force(spark, monkeypatch):
 def test_documents_of_shared_lines_make_few_pairs(spark, monkeypatch):
     """Texts of 30 out of 60 lines, no two alike: pairs that are verified grow no faster than the texts."""
     seen = []
-    whole = ngrams._verified
-    monkeypatch.setattr(ngrams, "_verified", lambda pairs, *a: seen.append(pairs.count()) or whole(pairs, *a))
+    whole = sets._verified
+    monkeypatch.setattr(sets, "_verified", lambda pairs, *a: seen.append(pairs.count()) or whole(pairs, *a))
     r = random.Random(5)
     lines = [" ".join(f"l{k}x{r.randrange(50)}" for _ in range(8)) for k in range(60)]
     for n in (200, 400):
@@ -78,23 +79,39 @@ def test_documents_of_shared_lines_make_few_pairs(spark, monkeypatch):
     assert max(seen) <= 40
 
 
-def test_any_two_alike_sets_share_a_part(spark):
+def test_similar_documents_of_shared_lines_make_few_pairs(spark, monkeypatch):
+    """The same at five words and likeness 0.8, where whole sets are cut into quarters; no group of a part is large."""
+    seen, large = [], []
+    whole, dealt = sets._verified, sets._dealt
+    monkeypatch.setattr(sets, "_verified", lambda pairs, *a: seen.append(pairs.count()) or whole(pairs, *a))
+    monkeypatch.setattr(sets, "_dealt", lambda rooted: large.append(rooted.count()) or dealt(rooted))
+    r = random.Random(8)
+    lines = [" ".join(f"l{k}x{r.randrange(50)}" for _ in range(8)) for k in range(60)]
+    for n in (200, 400):
+        rows = [(k, " ".join(r.sample(lines, 30))) for k in range(n)]
+        out = simhash.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert {x.component for x in out.collect()} == set(range(n))
+    assert max(seen) <= 40 and sum(large) == 0
+
+
+@pytest.mark.parametrize(("likeness", "each", "more"), [(0.9, 0.3, 8), (0.8, 1.4, 16)])
+def test_any_two_alike_sets_share_a_part(spark, likeness, each, more):
     r = np.random.default_rng(6)
     rows = []
     for k, n in enumerate((1, 2, 9, 10, 11, 19, 20, 40, 100, 333, 1000)):
         base = r.integers(0, 2**62, n)
-        swaps = int(n * 0.1 / 1.9)  # as many as a likeness of 0.9 bears
+        swaps = int(n * (1 - likeness) / (1 + likeness) + 1e-9)  # as many as this likeness bears
         near = np.concatenate([base[swaps:], r.integers(0, 2**62, swaps)])
-        drop = base[: max(1, int(np.ceil(0.9 * n)))]
+        drop = base[: max(1, int(np.ceil(likeness * n - 1e-9)))]
         rows += [(3 * k, sorted(base.tolist())), (3 * k + 1, sorted(near.tolist())), (3 * k + 2, sorted(drop.tolist()))]
     keys = Counter()
     of = {}
-    for x in ngrams.parts(spark.createDataFrame(rows, "fp bigint, hashes array<bigint>"), 0.9).collect():
+    for x in sets.parts(spark.createDataFrame(rows, "fp bigint, hashes array<bigint>"), likeness).collect():
         of.setdefault(x.fp, set()).add(x.k)
         keys[x.k] += 1
     for k in range(0, len(rows), 3):
         assert of[k] & of[k + 1] and of[k] & of[k + 2]
-    assert all(len(of[k]) <= 0.3 * len(h) + 8 for k, h in rows)
+    assert all(len(of[k]) <= each * len(h) + more for k, h in rows)
 
 
 def test_odd_rows(spark):

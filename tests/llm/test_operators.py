@@ -15,7 +15,7 @@ from conftest import same_rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fanflow.llm import decontaminate, hmm, language, mixing, quality, quotes, simhash, spotsigs, suffixes, urls
+from fanflow.llm import decontaminate, hmm, language, mixing, quality, quotes, sets, simhash, spotsigs, suffixes, urls
 from fanflow.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -94,8 +94,8 @@ def test_simhash_odd_rows(spark):
 
 @pytest.mark.parametrize(("few", "part_rows"), [(32, 1024), (2, 4)])
 def test_similar_documents_match_brute_force(spark, monkeypatch, few, part_rows):
-    monkeypatch.setattr(simhash, "FEW", few)
-    monkeypatch.setattr(simhash, "PART_ROWS", part_rows)
+    monkeypatch.setattr(sets, "FEW", few)
+    monkeypatch.setattr(sets, "PART_ROWS", part_rows)
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
     docs = []
@@ -104,10 +104,10 @@ def test_similar_documents_match_brute_force(spark, monkeypatch, few, part_rows)
         docs += [" ".join(word() if at in edits else w for at, w in enumerate(base)) for edits in (set(r.sample(range(300), k)) for k in (0, 0, 1, 2, 3, 60, 90))]
     docs += ["a b", "A  b", "a c", "", None, " "]
     shingle = lambda t: {tuple(w[i : i + min(5, len(w))]) for w in [words(t)] for i in range(max(1, len(w) - 4)) if w}
-    sets = [shingle(t) for t in docs]
+    held = [shingle(t) for t in docs]
     root = list(range(len(docs)))
     for a, b in itertools.combinations(range(len(docs)), 2):
-        if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+        if held[a] == held[b] or len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b]):
             x, y = root[a], root[b]
             root = [min(x, y) if v in (x, y) else v for v in root]
     found = simhash.similar_documents(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
@@ -116,7 +116,7 @@ def test_similar_documents_match_brute_force(spark, monkeypatch, few, part_rows)
 
 @pytest.mark.parametrize("few", [32, 1])
 def test_similar_documents_at_just_the_likeness(spark, monkeypatch, few):
-    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(sets, "FEW", few)
     docs = []
     for k, n in itertools.product(range(40), (8, 24, 49)):  # 4, 20 and 45 shingles, and a quarter more or just over
         base = [f"{n}x{k}y{w}" for w in range(n)]
