@@ -35,14 +35,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, likeness 0.8 or more) the document with the smallest id.
+    """Of each group of near-duplicates the document with the smallest id: SimHashes of five-word shingles within two bits, or likeness 0.8 or more.
 
     Null ids count as the largest; of rows with equal id and text one stays. The rows that go are sent to all tasks up
     to SENT_ROWS of them and joined by a shuffle beyond, so that texts are shuffled only where they must be.
     """
     small_batches(spark)
     key = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"), F.xxhash64("text").alias("same")]
-    found = simhash.similar_documents(docs.select(F.struct(*key).alias("key"), "text"), "key")
+    found = simhash.near_documents(docs.select(F.struct(*key).alias("key"), "text"), "key")
     rows = found.groupBy("key").agg(F.max(F.col("key") != F.col("component")).alias("goes"), F.count(F.lit(1)).alias("times"))
     odd = written(rows.filter("goes or times > 1").select("key.*", "goes"), "pipeline-odd")
     sent = F.broadcast(odd) if odd.count() <= SENT_ROWS else odd

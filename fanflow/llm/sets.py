@@ -88,11 +88,12 @@ def frequencies(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     return table
 
 
-def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness: float) -> DataFrame:
+def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness: float, marks: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """One row (id, fp: long key of the n-gram set, n, keys, counts) for each row of docs: keys are the set's prefix, the rarest n-gram first.
 
     In any one order of all n-grams, two sets of this likeness have one of their first n - ceil(likeness * n) + 1 in common.
     counts are the set's n-grams by range of their hash. Texts of fewer words are one n-gram; texts without words have none.
+    With marks, a column mark: long has what it gives for each set, from all hashes and where each set's begin among them.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     sets, held = _sets(words), docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, words))
@@ -107,14 +108,16 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, words: int, likeness:
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32)), signed(ordered[place < first[text]]))
             spread = np.bincount(text * RANGES + (h >> np.uint64(58)).astype(np.int64), minlength=b.num_rows * RANGES)
             counts = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * RANGES), pa.array(np.minimum(spread, 32767).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), signed(fp), pa.array(n), keys, counts], ["id", "fp", "n", "keys", "counts"])
+            more = {"mark": signed(marks(h, cut))} if marks else {}
+            yield pa.RecordBatch.from_arrays([b.column("id"), signed(fp), pa.array(n), keys, counts, *more.values()], ["id", "fp", "n", "keys", "counts", *more])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, n bigint, keys array<bigint>, counts array<smallint>")
+    schema = f"id {kind}, fp long, n bigint, keys array<bigint>, counts array<smallint>" + (", mark long" if marks else "")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def distinct_sets(rows: DataFrame) -> DataFrame:
-    """(fp, least: smallest id, n, keys, counts) of rows of prefixes(): each set once."""
-    return rows.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("counts").alias("counts"))
+    """(fp, least: smallest id, n, keys, counts, and mark if there is one) of rows of prefixes(): each set once."""
+    return rows.groupBy("fp").agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in rows.columns if c not in ("id", "fp")))
 
 
 def _members(found: DataFrame, wanted: DataFrame, key: str = "fp") -> DataFrame:
@@ -302,9 +305,18 @@ def _cells(dealt: DataFrame, *columns: str) -> DataFrame:
     return dealt.select("k", "i", "j", *columns).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
 
 
-def join_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, likeness: float) -> DataFrame:
+def _between(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those pairs (a, b) that components known (a, root) leave apart."""
+    for c in "ab":
+        pairs = pairs.join(known.select(F.col("a").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def join_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int, likeness: float, known: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) that connect exactly the sets of distinct (fp, n, keys, counts) that chains of pairs of this likeness connect.
 
+    With known (a, root), components found before, their sets are connected too, and pairs within one are not compared.
+
     Sets meet over prefix n-grams. An n-gram's group up to FEW gives its pairs, filtered by length, positions and
     ranges. Sets of larger groups meet again over the parts that parts() cuts them into: groups of a part up to FEW give their
     pairs, and of larger ones each set meets the least set of all its groups. All these pairs are verified once, by whole
@@ -331,9 +343,12 @@ def join_links(distinct: DataFrame, docs: DataFrame, text_col: str, words: int,
         met = _each_pair(small).unionByName(star).distinct()
         met = met.join(facts.select(F.col("fp").alias("a"), F.col("n").alias("n_a")), "a").join(facts.select(F.col("fp").alias("b"), F.col("n").alias("n_b")), "b")
         pairs = pairs.unionByName(met.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * likeness - 1e-9)).distinct()
-    pairs = written(_suffix_filter(written(pairs, "ngrams-likely"), distinct, likeness), "ngrams-pairs")
+    pairs = _suffix_filter(written(pairs, "ngrams-likely"), distinct, likeness)
+    pairs = written(pairs if known is None else _between(pairs, known), "ngrams-pairs")
     wanted = written(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct(), "ngrams-wanted")
     near = written(_verified(pairs, written(whole_sets(docs, wanted, text_col, words), "ngrams-sets"), likeness), "ngrams-near")
+    if known is not None:
+        near = near.unionByName(known.select("a", F.col("root").alias("b")).filter("a <> b"))
     if large is None or large.isEmpty():
         return near
     roots = written(components(near), "ngrams-roots").withColumnRenamed("a", "fp")

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints of word shingles, linked through pigeonhole blocks and verified by Hamming distance, and exact links of shingle sets."""
+"""SimHash near-duplicates: fingerprints of word shingles, linked through pigeonhole blocks and verified by Hamming distance; shingle sets that these leave apart by exact likeness."""
 
 from __future__ import annotations
 
@@ -53,6 +53,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind.simpleString()}, fp long")
 
 
+def set_fingerprints(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The 64-bit SimHash of each set h[cut[k] : cut[k + 1]] of shingle hashes: a bit is set if it is set in over half of them; 0 for none."""
+    n = np.diff(cut)
+    some = np.flatnonzero(n)
+    starts, votes = cut[some], np.zeros((len(n), BITS), np.int64)
+    for at in range(0, len(h), 65536):
+        part = np.unpackbits(h[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        lo, hi = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + len(part), "left")
+        votes[some[lo:hi]] += np.add.reduceat(part, np.maximum(starts[lo:hi] - at, 0), axis=0, dtype=np.int32)
+    return np.packbits(votes * 2 > n[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
+
+
 def _linked(fps: np.ndarray, distance: int) -> np.ndarray:
     """For each fingerprint of one block group the smallest place it reaches by links within the group."""
     near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
@@ -141,6 +153,36 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return named(rows.select("id", "fp"), distinct.select("fp", "least"), roots).withColumnRenamed("id", id_col)
 
 
+def set_links(distinct: DataFrame, distance: int = 2) -> DataFrame:
+    """Edges (a, b) between sets of distinct (fp: key, n, mark: SimHash) whose SimHashes chains of pairs within distance bits connect.
+
+    Sets of equal SimHash meet the one of least key; sets without shingles have no SimHash.
+    """
+    marked = distinct.filter("n > 0").select("fp", "mark")
+    first = written(marked.groupBy("mark").agg(F.min("fp").alias("first")), "simhash-marks")
+    same = marked.join(first, "mark").select(F.col("fp").alias("a"), F.col("first").alias("b")).filter("a <> b")
+    near = links(first.select(F.col("mark").alias("fp")), distance)
+    one, two = (first.select(F.col("mark").alias(c), F.col("first").alias(f"set_{c}")) for c in "ab")
+    return same.unionByName(near.join(one, "a").join(two, "b").select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
+
+
+def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, likeness: float = 0.8, distance: int = 2) -> DataFrame:
+    """One row for each row of docs: (id_col, fp: long key of the shingle set, component: the smallest id that links reach).
+
+    Documents link if the 64-bit SimHashes of their sets of five-word shingles differ by distance bits at most: all such pairs,
+    through the pigeonhole blocks of links(). That reaches few pairs near likeness 0.8, which differ by some ten bits, so an
+    exact check follows between the components that SimHash leaves: sets of a Jaccard likeness of 0.8 or more link as in
+    similar_documents(), and pairs within a component are not compared again. A SimHash counts a set's shingles once each, so
+    that a line repeated in a text does not outvote the rest of it. Texts without words link with each other only. Null ids,
+    equal ids and other columns are as in near_duplicates(). docs is read up to four times.
+    """
+    rows = written(prefixes(docs, id_col, text_col, words, likeness, set_fingerprints), "simhash-prefixes")
+    distinct = written(distinct_sets(rows), "simhash-distinct")
+    known = written(components(set_links(distinct, distance)), "simhash-known")
+    roots = components(join_links(distinct, docs, text_col, words, likeness, known))
+    return named(rows.select("id", "fp"), distinct.select("fp", "least"), roots).withColumnRenamed("id", id_col)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns for all documents: doc_id, fingerprint (16 hex digits), component_id."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
