@@ -11,12 +11,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fanflow.llm.common import written
+from fanflow.llm.common import ragged, written
 
 #: Rows that the split points are chosen from; split points of a node; rows of a leaf that is not split; levels at most.
 FIT, SPLITS, LEAF, LEVELS = 20_000, 12, 2_000, 4
-#: Rows of a leaf that one task holds, and anchors that are compared with them at once.
-BLOCK, ANCHORS = 4_096, 256
+#: Rows of a leaf and anchors that are compared at once; entries that are kept for such anchors before they are thinned out.
+BLOCK, ANCHORS, KEPT = 4_096, 256, 1_000_000
+#: Shelves that leaves are put on together, and components of all vectors of a shelf at most: larger tables have more shelves.
+SHELVES, SHELF = 12, 2**22
 #: Components of this size or more take no part: their squares would not be finite.
 LARGEST = 1e150
 #: Scores below this are exact in double precision.
@@ -194,12 +196,91 @@ def place(rows: DataFrame, tree: Tree, width: int) -> DataFrame:
 _WINDOWS = "array<struct<positive:{id},score:decimal(38,0),least:decimal(38,0),most:decimal(38,0),from:decimal(38,0)>>"
 
 
+def shelves(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shelf of each leaf of so many rows, and how many it has: neighbours in the tree share a shelf of so much room, a larger leaf has several to itself."""
+    first, many = np.zeros((2, len(sizes)), np.int64)
+    at, used = 0, 0
+    for leaf in np.flatnonzero(sizes):
+        if used and used + sizes[leaf] > room:
+            at, used = at + 1, 0
+        first[leaf], many[leaf] = at, -(-sizes[leaf] // room)
+        at, used = (at, used + sizes[leaf]) if many[leaf] == 1 else (at + many[leaf], 0)
+    return first, many
+
+
+def _places(group: np.ndarray) -> np.ndarray:
+    """The place of each element in its group, equal numbers being side by side."""
+    start = np.flatnonzero(np.concatenate([np.ones(min(1, len(group)), bool), group[1:] != group[:-1]]))
+    return np.arange(len(group)) - np.repeat(start, np.diff(np.append(start, len(group))))
+
+
+class Found:
+    """For each anchor and window the first n rows so far, the highest scores first and then the smaller ids."""
+
+    def __init__(self, n: int):
+        self.n, self.kept = n, [np.zeros((4, 0), np.int64)]
+
+    def add(self, *columns: np.ndarray) -> None:
+        """anchor, window, score, id of more rows."""
+        self.kept.append(np.stack(columns))
+        if sum(k.shape[1] for k in self.kept) > KEPT:
+            self.kept = [self.first()]
+
+    def first(self) -> np.ndarray:
+        found = np.concatenate(self.kept, 1)
+        anchor, window, score, ids = found
+        found = found[:, np.lexsort((ids, ~score, window, anchor))]
+        return found[:, _places(found[0] * (found[1].max(initial=0) + 1) + found[1]) < self.n]
+
+
+class Anchors:
+    """Anchors that meet the rows of a shelf: their windows as arrays (anchor by window; without windows, one of all scores)."""
+
+    def __init__(self, held: list[tuple], width: int):
+        self.ids, self.labels = (np.array([a[k] for a in held], np.int64) for k in (0, 1))
+        self.x, self.windows = whole([a[2] for a in held], width), [a[3] for a in held]
+        self.own = all(w is None for w in self.windows)  # rows of the anchor's label are wanted
+        n = max((len(w or []) for w in self.windows), default=0)
+        self.low, self.high = np.full((len(held), max(1, n)), 2**63 - 1), np.full((len(held), max(1, n)), -(2**63))
+        if self.own:
+            self.low, self.high = self.high, self.low
+        for k, ws in enumerate(self.windows):
+            for at, w in enumerate(ws or []):
+                low, high = int(w["from"]), int(w["most"])
+                if low <= min(high, 2**63 - 1) and high >= -(2**63):
+                    self.low[k, at], self.high[k, at] = max(low, -(2**63)), min(high, 2**63 - 1)
+        self.leaves: dict[int, list[int]] = {}
+        for k, a in enumerate(held):
+            for leaf in a[4]:
+                self.leaves.setdefault(leaf, []).append(k)
+
+    def meet(self, some: np.ndarray, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, found: Found) -> None:
+        """Adds the first rows of these (ids, labels, x) for the anchors at some."""
+        s = inner(self.x[some], x)
+        s = np.clip(s, -(2**63), 2**63 - 1).astype(np.int64) if s.dtype == object else s
+        fits = (labels == self.labels[some, None]) == self.own
+        fits &= ids != self.ids[some, None]
+        if self.own and s.dtype != np.int64 and s.shape[1] > 4 * found.n:  # only what reaches the n-th score can be among the first
+            fits &= s >= np.partition(np.where(fits, s, -np.inf), -found.n, 1)[:, -found.n, None]
+        elif not self.own:
+            fits &= (s >= self.low[some].min(1)[:, None]) & (s <= self.high[some].max(1)[:, None])
+        row, col = np.nonzero(fits)
+        score, row, ids = s[row, col].astype(np.int64), some[row], ids[col]
+        order = np.lexsort((ids, ~score, row))
+        score, row, ids = score[order], row[order], ids[order]
+        for w in range(self.low.shape[1]):
+            inside = np.flatnonzero((score >= self.low[row, w]) & (score <= self.high[row, w]))
+            inside = inside[_places(row[inside]) < found.n]
+            found.add(row[inside], np.full(len(inside), w), score[inside], ids[inside])
+
+
 class Search:
-    """Anchors and the rows of their leaves, brought together by block of a leaf.
+    """Anchors and the rows of the leaves that they visit, brought together by shelf: a few leaves that are neighbours in the tree.
 
-    Each step gives, for each anchor (and each of its windows), the first rows of each block, so that what is merged
-    afterwards is bounded by the blocks that an anchor visits. An anchor's windows are (positive, its score, least, most, from):
-    rows of other labels with scores from least to most are wanted (those from `from` on suffice); without windows, rows
+    Each step gives, for each anchor (and each of its windows), the first rows of each shelf, so that what is merged
+    afterwards is bounded by the shelves that an anchor visits: SHELVES or so, and more only beyond SHELF. An anchor meets the
+    rows of its own leaves alone there. An anchor's windows are (positive, its score, least, most, from): rows of other
+    labels with scores from least to most are wanted, of which those from `from` on hold the first; without windows, rows
     of its own label are.
     """
 
@@ -207,16 +288,20 @@ class Search:
         self.placed, self.tree, self.width, self.positives, self.negatives = placed, tree, width, positives, negatives
         self.kind = placed.schema["id"].dataType.simpleString()
         self.vector = placed.schema["vector"].dataType.simpleString()
-        sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"))  # as many rows as the tree has leaves
-        self.sizes = sizes.select("leaf", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
-        self.held: Broadcast = placed.sparkSession.sparkContext.broadcast(tree)
+        counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()  # as many rows as the tree has leaves: SPLITS ** LEVELS at most
+        sizes = np.zeros(max(1, tree.leaves), np.int64)
+        sizes[[r.leaf for r in counts]] = [r.rows for r in counts]
+        first, many = shelves(sizes, max(1, min(SHELF // max(1, width), -(-int(sizes.sum()) // SHELVES))))
+        self.held: Broadcast = placed.sparkSession.sparkContext.broadcast((tree, first, many))
+        where = placed.sparkSession.createDataFrame([(r.leaf, int(first[r.leaf]), int(many[r.leaf])) for r in counts], "leaf long, first long, many long")
+        self.rows = placed.join(F.broadcast(where), "leaf").withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("id", "label"), "many"))
 
     def visits(self, anchors: DataFrame, own: bool) -> DataFrame:
-        """anchors (id, label, vector, least, most: arrays of scores) with the leaves that they visit: their own alone, or all that the annuli of any window meet."""
+        """anchors (id, label, vector, least, most: arrays of scores) with the shelves and leaves that they visit: their own leaf alone, or all that the annuli of any window meet."""
         width, held = self.width, self.held
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = held.value
+            t, first, many = held.value
             for b in batches:
                 x = whole([v.values.to_numpy() for v in b.column("vector")], width)
                 lifted = t.lifted(np.zeros((0, width))) if not len(x) else np.hstack([x, np.zeros((len(x), 1))])
@@ -229,36 +314,35 @@ class Search:
                     row, leaf = t.visited(lifted[of], low, high)
                     pairs = np.unique(np.stack([of[row], leaf], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
                     row, leaf = pairs[:, 0], pairs[:, 1]
-                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(row)) for c in ("id", "label", "vector", "windows")), pa.array(leaf)], ["id", "label", "vector", "windows", "leaf"])
+                at, place = ragged(many[leaf])
+                row, leaf, shelf = row[at], leaf[at], first[leaf[at]] + place
+                order = np.lexsort((leaf, shelf, row))
+                row, leaf, shelf = row[order], leaf[order], shelf[order]
+                start = np.flatnonzero(_places(row * (shelf.max(initial=0) + 1) + shelf) == 0)
+                leaves = pa.ListArray.from_arrays(pa.array(np.append(start, len(row)).astype(np.int32)), pa.array(leaf))
+                took = (b.column(c).take(pa.array(row[start])) for c in ("id", "label", "vector", "windows"))
+                yield pa.RecordBatch.from_arrays([*took, pa.array(shelf[start]), leaves], ["id", "label", "vector", "windows", "shelf", "leaves"])
 
         windows = anchors.schema["windows"].dataType.simpleString()
-        return anchors.select("id", "label", "vector", "windows", "least", "most").mapInArrow(run, f"id {self.kind}, label int, vector {self.vector}, windows {windows}, leaf long")
+        return anchors.select("id", "label", "vector", "windows", "least", "most").mapInArrow(run, f"id {self.kind}, label int, vector {self.vector}, windows {windows}, shelf long, leaves array<long>")
 
     def scan(self, visits: DataFrame) -> DataFrame:
-        """(anchor, positive, positive_score, other, score) from each block of the leaves that are visited; see the class."""
+        """(anchor, positive, positive_score, other, score) from each shelf that is visited; see the class."""
         width, positives, negatives = self.width, self.positives, self.negatives
-        kind = pa.from_numpy_dtype(np.int64)
-
-        def best(scores: np.ndarray, ids: np.ndarray, some: np.ndarray, n: int) -> np.ndarray:
-            if len(some) > 8 * n and scores.dtype != object:  # only what reaches the n-th score can be among the first
-                cut = np.partition(scores[some], len(some) - n)[len(some) - n]
-                some = some[scores[some] >= cut]
-            order = sorted(some.tolist(), key=lambda k: (-scores[k], ids[k]))[:n]
-            return np.array(order, np.int64)
-
-        def met(rows: tuple, anchors: list[tuple]) -> list[tuple]:
-            ids, labels, x = rows
-            out = []
-            s = inner(whole([a[2] for a in anchors], width), x)
-            s = np.clip(s, -(2**63), 2**63 - 1) if s.dtype == object else s
-            for (anchor, label, _, windows), scores in zip(anchors, s, strict=True):
-                same, other = labels == label, ids != anchor
-                if windows is None:
-                    out += [(anchor, None, None, ids[k], int(scores[k])) for k in best(scores, ids, np.flatnonzero(same & other), positives)]
-                for w in windows or []:
-                    fits = np.flatnonzero(~same & other & (scores >= int(w["least"])) & (scores <= int(w["most"])))
-                    out += [(anchor, w["positive"], int(w["score"]), ids[k], int(scores[k])) for k in best(scores, ids, fits, negatives)]
-            return out
+
+        def met(rows: tuple, held: list[tuple]) -> pa.RecordBatch:
+            ids, labels, leaves, x = rows
+            a = Anchors(held, width)
+            found = Found(positives if a.own else negatives)
+            for leaf, some in a.leaves.items():
+                lo, hi = np.searchsorted(leaves, leaf), np.searchsorted(leaves, leaf, "right")
+                for at in range(lo, hi, BLOCK):
+                    part = slice(at, min(at + BLOCK, hi))
+                    a.meet(np.array(some), ids[part], labels[part], x[part], found)
+            anchor, window, score, other = found.first()
+            of = [None if a.own else a.windows[k][w] for k, w in zip(anchor.tolist(), window.tolist(), strict=True)]
+            asked = [pa.array([w and int(w[c]) for w in of], pa.int64()) for c in ("positive", "score")]
+            return pa.RecordBatch.from_arrays([pa.array(a.ids[anchor]), *asked, pa.array(other), pa.array(score)], ["anchor", "positive", "positive_score", "other", "score"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, rows, anchors = None, [], []
@@ -266,37 +350,45 @@ class Search:
             def flush() -> pa.RecordBatch:
                 nonlocal rows, anchors
                 if isinstance(rows, list):
-                    rows = (np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), whole([r[2] for r in rows], width))
-                out, anchors = (met(rows, anchors) if len(rows[0]) else []), []
-                return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k in range(5)], ["anchor", "positive", "positive_score", "other", "score"])
-
-            for b in batches:
-                for leaf, block, asks, i, label, vector, windows in zip(*(b.column(c) for c in ("leaf", "block", "asks", "id", "label", "vector", "windows")), strict=True):
-                    here = (leaf.as_py(), block.as_py())
-                    if here != key:
+                    ids, labels, leaves = (np.concatenate([r[k] for r in rows] or [np.zeros(0, np.int64)]) for k in range(3))
+                    order = np.argsort(leaves, kind="stable")
+                    x = np.concatenate([r[3] for r in rows] or [np.zeros((0, width))])
+                    rows = (ids[order], labels[order], leaves[order], x[order])
+                out, anchors = met(rows, anchors), []
+                return out
+
+            for whole_batch in batches:
+                shelf, asks = (whole_batch.column(c).to_numpy(zero_copy_only=False) for c in ("shelf", "asks"))
+                edges = np.flatnonzero((shelf[1:] != shelf[:-1]) | (asks[1:] != asks[:-1])) + 1
+                for at, to in zip([0, *edges.tolist()], [*edges.tolist(), len(shelf)], strict=True):
+                    if at == to:
+                        continue
+                    b = whole_batch.slice(at, to - at)
+                    if shelf[at] != key:
                         if anchors:
                             yield flush()
-                        key, rows, anchors = here, [], []
-                    if asks.as_py():
-                        anchors.append((i.as_py(), label.as_py(), vector.values.to_numpy(), windows.as_py()))
+                        key, rows, anchors = shelf[at], [], []
+                    if not asks[at]:
+                        values = (b.column(c).to_numpy().astype(np.int64) for c in ("id", "label", "leaf"))
+                        rows.append((*values, whole([v.values.to_numpy() for v in b.column("vector")], width)))
+                        continue
+                    for a in zip(*(b.column(c) for c in ("id", "label", "vector", "windows", "leaves")), strict=True):
+                        anchors.append((a[0].as_py(), a[1].as_py(), a[2].values.to_numpy(), a[3].as_py(), a[4].as_py()))
                         if len(anchors) >= ANCHORS:
                             yield flush()
-                    else:
-                        rows.append((i.as_py(), label.as_py(), vector.values.to_numpy()))
             if anchors:
                 yield flush()
 
         windows = visits.schema["windows"].dataType.simpleString()
-        rows = self.placed.join(F.broadcast(self.sizes), "leaf").withColumn("block", F.pmod(F.xxhash64("id", "label"), "blocks"))
-        rows = rows.select("leaf", "block", F.lit(False).alias("asks"), "id", "label", "vector", F.lit(None).cast(windows).alias("windows"))
-        asked = visits.join(F.broadcast(self.sizes), "leaf").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        both = rows.unionByName(asked.select("leaf", "block", F.lit(True).alias("asks"), "id", "label", "vector", "windows"))
-        dealt = both.repartition("leaf", "block").sortWithinPartitions("leaf", "block", "asks")
+        empty = lambda kind: F.lit(None).cast(kind)
+        rows = self.rows.select("shelf", F.lit(False).alias("asks"), "leaf", empty("array<long>").alias("leaves"), "id", "label", "vector", empty(windows).alias("windows"))
+        asked = visits.select("shelf", F.lit(True).alias("asks"), empty("long").alias("leaf"), "leaves", "id", "label", "vector", "windows")
+        dealt = rows.unionByName(asked).repartition("shelf").sortWithinPartitions("shelf", "asks")
         return dealt.mapInArrow(run, "anchor long, positive long, positive_score long, other long, score long")
 
 
 def _first(found: DataFrame, by: list[str], n: int) -> DataFrame:
-    """For each group the list of its first n (score, other), the highest scores first and the smaller ids of those: a few from each block."""
+    """For each group the list of its first n (score, other), the highest scores first and the smaller ids of those: a few from each shelf."""
     rows = F.array_sort(F.collect_list(F.struct((-F.col("score").cast("decimal(38,0)")).alias("down"), F.col("other"), F.col("score"))))
     return found.groupBy(*by).agg(F.slice(rows, 1, n).alias("top"))
 
